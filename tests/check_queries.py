@@ -18,6 +18,7 @@ sf_dir = f"/root/testdata/{sf}"
 spark = (
     SparkSession.builder.master("local[8]")
     .config("spark.ui.enabled", "false")
+    .config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.shuffle.partitions", "8")
     .config("spark.driver.memory", "12g")
     .getOrCreate()

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column
 from pyspark.sql.types import DataType
 
 CastMode = Literal["cast", "try_cast"]
 
 
-def cast_as(value: Column, to: DataType | str, mode: CastMode = "try_cast") -> Column:
-    """Cast ``value``; ``try_cast`` turns what does not fit into NULL, ``cast`` follows the
-    session's ANSI setting."""
-    if mode == "try_cast":
-        return value.try_cast(to)
-    if mode == "cast":
-        return value.cast(to)
-    raise ValueError(f"unknown cast mode {mode!r}")
+def cast_as(expression: str, to: DataType | str, mode: CastMode = "try_cast") -> str:
+    """SQL text that casts ``expression``; ``try_cast`` turns what does not fit into NULL,
+    ``cast`` follows the session's ANSI setting."""
+    if mode not in ("cast", "try_cast"):
+        raise ValueError(f"unknown cast mode {mode!r}")
+    return f"{mode}({expression} AS {to if isinstance(to, str) else to.simpleString()})"

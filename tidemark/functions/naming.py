@@ -13,9 +13,20 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def column(*path: str) -> Column:
-    """Column reached by following ``path`` from a top-level name into nested fields."""
-    return F.col(".".join(quoted(part) for part in path))
+def path(*names: str) -> str:
+    """SQL text for what lies at ``names``, from a top-level name into nested fields."""
+    return ".".join(map(quoted, names))
+
+
+def column(*names: str) -> Column:
+    """Column for what lies at ``names``, from a top-level name into nested fields."""
+    return F.col(path(*names))
+
+
+def aliased(expression: str, name: str) -> str:
+    """SQL text that gives ``expression`` a name. Projections over many columns are written
+    as text, which reaches Spark in one call per column instead of one per function."""
+    return f"{expression} AS {quoted(name)}"
 
 
 def same_name(df: DataFrame):

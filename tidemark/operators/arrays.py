@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from tidemark.functions.naming import column, require_columns, require_distinct, same_name
+from tidemark.functions.naming import (
+    aliased,
+    column,
+    quoted,
+    require_columns,
+    require_distinct,
+    same_name,
+)
 from tidemark.operators.nested import flatten_struct, flatten_structs
 
 
@@ -29,18 +36,24 @@ def explode_prefix(df: DataFrame, array: str, prefix: str, outer: bool = False,
     """One row per element; a struct element becomes columns ``<prefix><sep><field>``.
 
     Rows whose array is null or empty vanish unless ``outer``. ``with_pos`` adds the 0-based
-    ``<prefix><sep>pos``. No shuffle: each row is expanded where it lies."""
+    ``<prefix><sep>pos``. No shuffle: each row is expanded where it lies.
+
+    The inner form is an outer explode without the rows that have no position: for a plain
+    inner explode the optimizer adds a filter on the array's size, which computes the array a
+    second time wherever it is an expression, such as parsed JSON text."""
     element = _array_type(df, array).elementType
     rest = _others(df, array)
-    names = [prefix]
-    if with_pos:
-        explode = F.posexplode_outer if outer else F.posexplode
-        names = [f"{prefix}{sep}pos", prefix]
-    else:
-        explode = F.explode_outer if outer else F.explode
-    require_distinct(df, [*rest, *names])
-    exploded = df.select(*map(column, rest), explode(column(array)).alias(*names))
-    return flatten_struct(exploded, prefix, sep) if isinstance(element, StructType) else exploded
+    pos = f"{prefix}{sep}pos"
+    require_distinct(df, [*rest, pos, prefix])
+    rows = df.selectExpr(
+        *map(quoted, rest),
+        f"posexplode_outer({quoted(array)}) AS ({quoted(pos)}, {quoted(prefix)})",
+    )
+    if not outer:
+        rows = rows.where(column(pos).isNotNull())
+    if not with_pos:
+        rows = rows.drop(pos)
+    return flatten_struct(rows, prefix, sep) if isinstance(element, StructType) else rows
 
 
 def max_length(df: DataFrame, array: str) -> int:
@@ -62,9 +75,9 @@ def split_to_columns(df: DataFrame, array: str, width: int | None = None) -> Dat
     rest = _others(df, array)
     names = [f"{array}[{i}]" for i in range(width)]
     require_distinct(df, [*rest, *names])
-    return df.select(
-        *map(column, rest),
-        *(F.get(column(array), F.lit(i)).alias(name) for i, name in enumerate(names)),
+    return df.selectExpr(
+        *map(quoted, rest),
+        *(aliased(f"get({quoted(array)}, {i})", name) for i, name in enumerate(names)),
     )
 
 

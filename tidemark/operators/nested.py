@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from tidemark.functions.naming import column, require_columns, require_distinct, same_name
+from tidemark.functions.naming import aliased, path, require_columns, require_distinct, same_name
 
 Leaf = tuple[str, tuple[str, ...]]
 
@@ -35,11 +35,11 @@ def struct_columns(schema: StructType, with_arrays: bool = True) -> list[str]:
     ]
 
 
-def _leaves(name: str, path: tuple[str, ...], struct: StructType, sep: str, deep: bool,
+def _leaves(name: str, above: tuple[str, ...], struct: StructType, sep: str, deep: bool,
             into_arrays: bool) -> Iterator[Leaf]:
-    """Output name and path of the fields below ``path``, of nested structs too if ``deep``."""
+    """Output name and path of the fields below ``above``, of nested structs too if ``deep``."""
     for field in struct:
-        flat, below = f"{name}{sep}{field.name}", (*path, field.name)
+        flat, below = f"{name}{sep}{field.name}", (*above, field.name)
         opens = (
             deep
             and isinstance(field.dataType, StructType)
@@ -64,15 +64,15 @@ def flatten_structs(df: DataFrame, names: Iterable[str], sep: str = "_", deep: b
     chosen = {key(name) for name in names}
     leaves: list[Leaf] = []
     for field in df.schema:
-        path = (field.name,)
+        at = (field.name,)
         if key(field.name) not in chosen:
-            leaves.append((field.name, path))
+            leaves.append((field.name, at))
         elif isinstance(field.dataType, StructType):
-            leaves.extend(_leaves(field.name, path, field.dataType, sep, deep, into_arrays))
+            leaves.extend(_leaves(field.name, at, field.dataType, sep, deep, into_arrays))
         else:
             raise TypeError(f"{field.name!r} is {field.dataType.simpleString()}, not a struct")
     require_distinct(df, (name for name, _ in leaves))
-    return df.select(*(column(*path).alias(name) for name, path in leaves))
+    return df.selectExpr(*(aliased(path(*at), name) for name, at in leaves))
 
 
 def flatten_struct(df: DataFrame, name: str, sep: str = "_") -> DataFrame:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidemark.functions.casts import CastMode, cast_as
-from tidemark.functions.naming import column, require_distinct
+from tidemark.functions.naming import aliased, quoted, require_distinct
 
 #: Suffixes of the type variants. Earlier ones win where a row holds more than one.
 VARIANT_SUFFIXES = ("_double", "_int")
@@ -47,10 +46,11 @@ def merge_variants(df: DataFrame, groups: Mapping[str, Sequence[str]] | None = N
     members = {name for group in groups.values() for name in group}
     rest = [name for name in df.columns if name not in members]
     require_distinct(df, [*rest, *groups])
-    return df.select(
-        *map(column, rest),
-        *(
-            F.coalesce(*(cast_as(column(name), target_type, mode) for name in group)).alias(base)
-            for base, group in groups.items()
-        ),
+
+    def first_of(group: Sequence[str]) -> str:
+        return f"coalesce({', '.join(cast_as(quoted(name), target_type, mode) for name in group)})"
+
+    return df.selectExpr(
+        *map(quoted, rest),
+        *(aliased(first_of(group), base) for base, group in groups.items()),
     )

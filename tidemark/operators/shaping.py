@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType
 
 from tidemark.functions.casts import CastMode, cast_as
-from tidemark.functions.naming import column, require_columns, require_distinct, same_name
+from tidemark.functions.naming import (
+    aliased,
+    quoted,
+    require_columns,
+    require_distinct,
+    same_name,
+)
 
 
 def enforce(df: DataFrame, types: Mapping[str, DataType | str],
@@ -18,11 +24,11 @@ def enforce(df: DataFrame, types: Mapping[str, DataType | str],
     skipped, columns that are not named pass through."""
     key = same_name(df)
     wanted = {key(name): data_type for name, data_type in types.items()}
-    return df.select(
+    return df.selectExpr(
         *(
-            cast_as(column(name), wanted[key(name)], mode).alias(name)
+            aliased(cast_as(quoted(name), wanted[key(name)], mode), name)
             if key(name) in wanted
-            else column(name)
+            else quoted(name)
             for name in df.columns
         )
     )
@@ -48,4 +54,4 @@ def reorder(df: DataFrame, leading: Sequence[str],
         others = []
     else:
         raise ValueError(f"unknown rule {rest!r} for the remaining columns")
-    return df.select(*map(column, (*leading, *others)))
+    return df.selectExpr(*map(quoted, (*leading, *others)))

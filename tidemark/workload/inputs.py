@@ -6,11 +6,7 @@ same for SQL, where the arrays lie flat."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.feeds import raw_schema
 from tidemark.session import configure
@@ -29,125 +25,99 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with its epoch second ``s``, the number ``k`` of its JSON and value ``v``."""
-    return table(spark, sf_dir, "events").select(
+    """``events`` with its epoch second ``s``, a small number ``k`` and its value ``v``."""
+    return table(spark, sf_dir, "events").selectExpr(
         "*",
-        F.unix_seconds(F.col("ts").cast("timestamp")).cast("int").alias("s"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.col("value").alias("v"),
+        "CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS INT) AS s",
+        "CAST(event_id % 100 AS INT) AS k",
+        "value AS v",
     )
 
 
 EVENTS_CTE = """e AS (
-    SELECT *, CAST(floor(epoch(ts)) AS INTEGER) AS s, CAST(props->>'k' AS INTEGER) AS k,
+    SELECT *, CAST(floor(epoch(ts)) AS INTEGER) AS s, CAST(event_id % 100 AS INTEGER) AS k,
            value AS v
     FROM events
 )"""
 
 
-class _Event:
-    """Columns of :func:`events` that documents are made of."""
-
-    def __init__(self) -> None:
-        self.s, self.k, self.v = F.col("s"), F.col("k"), F.col("v")
-        self.kind = F.col("event_type")
-
-
-def _elements(length: Column, null_if: Column, build: Callable[[Column], Column]) -> Column:
-    """``build(0) … build(length - 1)``; NULL where ``null_if``."""
-    full = F.transform(F.sequence(F.lit(0), F.greatest(length, F.lit(1)) - 1), build)
-    return F.when(~null_if, F.when(length > 0, full).otherwise(F.slice(full, 1, 0)))
-
-
-def _named(**fields: Column) -> Column:
-    return F.struct(*(value.alias(name) for name, value in fields.items()))
-
-
-def _variant(integer_if: Column, integer: Column, double_if: Column, double: Column) -> Column:
-    return _named(int=F.when(integer_if, integer), double=F.when(double_if, double))
-
-
-def _weather(e: _Event, number: Column, length: Column, null_if: Column) -> Column:
-    return _elements(
-        length,
-        null_if,
-        lambda j: _named(
-            id=number + j + 200,
-            main=e.kind,
-            description=F.concat(e.kind, F.lit(" "), number.cast("string")),
-            icon=F.concat((number + j).cast("string"), F.lit("d")),
-        ),
-    )
-
-
-def _current(e: _Event) -> Column:
-    s, k, v = e.s, e.k, e.v
-    return _named(
-        dt=s,
-        sunrise=s - s % 86400 + 21600,
-        sunset=s - s % 86400 + 64800,
-        temp=_variant(k % 4 == 0, k, k % 4 == 1, v),
-        feels_like=v - 1.5,
-        pressure=k + 900,
-        humidity=k,
-        dew_point=v / 2,
-        uvi=k * 0.25,
-        clouds=100 - k,
-        visibility=k * 100,
-        wind_speed=v * 0.25,
-        wind_deg=k * 3,
-        wind_gust=_variant(k % 3 == 0, k * 2, k % 2 == 0, v + 1),
-        weather=_weather(e, k, k % 3, k % 11 == 0),
-    )
-
-
-def _minute(e: _Event, i: Column) -> Column:
-    return _named(dt=e.s - e.s % 60 + (i + 1) * 60, precipitation=e.v * 0.125 - i)
-
-
-def _hour(e: _Event, i: Column) -> Column:
-    s, k, v = e.s, e.k, e.v
-    return _named(
-        dt=s - s % 3600 + (i + 1) * 3600,
-        temp=_variant((k + i) % 2 == 0, k + i, (k + i) % 3 == 0, v + i),
-        feels_like=v - 3.25 - i * 4,
-        pressure=k + i + 900,
-        humidity=k,
-        dew_point=v / 4,
-        uvi=i * 0.5,
-        clouds=100 - k,
-        visibility=k * 100 + i,
-        wind_speed=v * 0.5,
-        wind_deg=(k * 3 + i) % 360,
-        wind_gust=_variant(k % 5 == 0, k + 7, k % 5 == 1, v * 2),
-        pop=k * 0.01,
-        rain=F.when((k + i) % 2 == 0, _named(**{"1h": v * 0.0625})),
-        weather=_weather(e, k + i, (k + i) % 3, k % 7 == 0),
-    )
-
-
-def _day(e: _Event, i: Column) -> Column:
-    s, k, v = e.s, e.k, e.v
-    return _named(
-        dt=s - s % 86400 + (i + 1) * 86400,
-        sunrise=s - s % 86400 + 21600 + i * 60,
-        sunset=s - s % 86400 + 64800 - i * 60,
-        moonrise=s - s % 86400 + 70000 + i,
-        moonset=s - s % 86400 + 30000 + i,
-        moon_phase=i * 0.125,
-        temp=_named(day=v + i, min=v - 5, morn=v - 2, eve=v / 3, night=v / 7),
-        feels_like=_named(day=v + i + 1, night=v - 6, morn=v - 3, eve=v - 1),
-        pressure=k + 900,
-        humidity=k,
-        dew_point=v / 5,
-        wind_deg=k * 3,
-        wind_gust=_variant(k % 5 == 0, k + 9, k % 5 == 1, v * 3),
-        clouds=100 - k,
-        rain=v * 0.75,
-        uvi=v / 9,
-        pop=k / F.lit(100.0),
-        weather=_weather(e, k + i, (k + i) % 4, k % 7 == 1),
-    )
+def _elements(length: str, null_if: str, element: str, i: str = "i") -> str:
+    """Array of ``element`` for ``i`` from 0 up to ``length``; NULL where ``null_if``."""
+    steps = f"slice(array(0, 1, 2, 3, 4, 5, 6), 1, {length})"
+    return f"CASE WHEN NOT {null_if} THEN transform({steps}, {i} -> {element}) END"
+
+
+def _weather(number: str, length: str, null_if: str) -> str:
+    element = f"""named_struct(
+        'id', {number} + j + 200,
+        'main', event_type,
+        'description', concat(event_type, ' ', {number}),
+        'icon', concat({number} + j, 'd'))"""
+    return _elements(length, null_if, element, "j")
+
+
+_CURRENT = f"""named_struct(
+    'dt', s,
+    'sunrise', s - s % 86400 + 21600,
+    'sunset', s - s % 86400 + 64800,
+    'temp', named_struct('int', if(k % 4 = 0, k, NULL), 'double', if(k % 4 = 1, v, NULL)),
+    'feels_like', v - 1.5D,
+    'pressure', k + 900,
+    'humidity', k,
+    'dew_point', v / 2,
+    'uvi', k * 0.25D,
+    'clouds', 100 - k,
+    'visibility', k * 100,
+    'wind_speed', v * 0.25D,
+    'wind_deg', k * 3,
+    'wind_gust', named_struct('int', if(k % 3 = 0, k * 2, NULL),
+                              'double', if(k % 2 = 0, v + 1, NULL)),
+    'weather', {_weather("k", "k % 3", "(k % 11 = 0)")})"""
+
+_MINUTE = """named_struct(
+    'dt', s - s % 60 + (i + 1) * 60,
+    'precipitation', v * 0.125D - i)"""
+
+_HOUR = f"""named_struct(
+    'dt', s - s % 3600 + (i + 1) * 3600,
+    'temp', named_struct('int', if((k + i) % 2 = 0, k + i, NULL),
+                         'double', if((k + i) % 3 = 0, v + i, NULL)),
+    'feels_like', v - 3.25D - i * 4,
+    'pressure', k + i + 900,
+    'humidity', k,
+    'dew_point', v / 4,
+    'uvi', i * 0.5D,
+    'clouds', 100 - k,
+    'visibility', k * 100 + i,
+    'wind_speed', v * 0.5D,
+    'wind_deg', (k * 3 + i) % 360,
+    'wind_gust', named_struct('int', if(k % 5 = 0, k + 7, NULL),
+                              'double', if(k % 5 = 1, v * 2, NULL)),
+    'pop', k * 0.01D,
+    'rain', if((k + i) % 2 = 0, named_struct('1h', v * 0.0625D), NULL),
+    'weather', {_weather("(k + i)", "(k + i) % 3", "(k % 7 = 0)")})"""
+
+_DAY = f"""named_struct(
+    'dt', s - s % 86400 + (i + 1) * 86400,
+    'sunrise', s - s % 86400 + 21600 + i * 60,
+    'sunset', s - s % 86400 + 64800 - i * 60,
+    'moonrise', s - s % 86400 + 70000 + i,
+    'moonset', s - s % 86400 + 30000 + i,
+    'moon_phase', i * 0.125D,
+    'temp', named_struct('day', v + i, 'min', v - 5, 'morn', v - 2, 'eve', v / 3,
+                         'night', v / 7),
+    'feels_like', named_struct('day', v + i + 1, 'night', v - 6, 'morn', v - 3, 'eve', v - 1),
+    'pressure', k + 900,
+    'humidity', k,
+    'dew_point', v / 5,
+    'wind_deg', k * 3,
+    'wind_gust', named_struct('int', if(k % 5 = 0, k + 9, NULL),
+                              'double', if(k % 5 = 1, v * 3, NULL)),
+    'clouds', 100 - k,
+    'rain', v * 0.75D,
+    'uvi', v / 9,
+    'pop', k / 100D,
+    'weather', {_weather("(k + i)", "(k + i) % 4", "(k % 7 = 1)")})"""
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,17 +127,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_of(rows: DataFrame) -> DataFrame:
     """Raw documents of some of the :func:`events`."""
-    e = _Event()
-    k = e.k
-    return rows.select(
-        (F.col("user_id") % 180 - 90).cast("double").alias("lat"),
-        (F.col("user_id") * 7 % 360 - 180).cast("double").alias("lon"),
-        F.concat(F.lit("Zone/"), e.kind).alias("timezone"),
-        ((k % 25 - 12) * 3600).cast("int").alias("timezone_offset"),
-        _current(e).alias("current"),
-        _elements(k % 7, k % 13 == 0, partial(_minute, e)).alias("minutely"),
-        _elements(k % 5, k % 17 == 0, partial(_hour, e)).alias("hourly"),
-        _elements(k % 4, k % 19 == 0, partial(_day, e)).alias("daily"),
+    return rows.selectExpr(
+        "CAST(user_id % 180 - 90 AS DOUBLE) AS lat",
+        "CAST(user_id * 7 % 360 - 180 AS DOUBLE) AS lon",
+        "concat('Zone/', event_type) AS timezone",
+        "(k % 25 - 12) * 3600 AS timezone_offset",
+        f"{_CURRENT} AS current",
+        f"{_elements('k % 7', '(k % 13 = 0)', _MINUTE)} AS minutely",
+        f"{_elements('k % 5', '(k % 17 = 0)', _HOUR)} AS hourly",
+        f"{_elements('k % 4', '(k % 19 = 0)', _DAY)} AS daily",
     )
 
 

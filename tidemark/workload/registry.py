@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampType
 
-from tidemark.functions.naming import column
+from tidemark.functions.naming import aliased, quoted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,11 @@ class Registry:
 
 def without_zone(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock time in UTC, the way the SQL side holds them."""
-    return df.select(
+    return df.selectExpr(
         *(
-            column(field.name).cast("timestamp_ntz").alias(field.name)
+            aliased(f"CAST({quoted(field.name)} AS TIMESTAMP_NTZ)", field.name)
             if isinstance(field.dataType, TimestampType)
-            else column(field.name)
+            else quoted(field.name)
             for field in df.schema
         )
     )
