@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.feeds import CURRENT_DT, FEEDS, WEATHER_TIME, FeedSpec
+from tidemark.plans.feeds import (
+    CURRENT,
+    CURRENT_DT,
+    DAILY,
+    FEEDS,
+    HOURLY,
+    MINUTELY,
+    WEATHER_TIME,
+    FeedSpec,
+)
+from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
+from tidemark.sources.readers import parse_raw, read_layer, read_raw
+from tidemark.sources.staging import staging_path
 from tidemark.workload.inputs import (
     CUTOFF,
+    DOCUMENT_SCHEMA,
     clean_sql,
     documents,
+    documents_of,
     events,
 )
 from tidemark.workload.registry import Registry, without_zone
@@ -18,10 +32,13 @@ from tidemark.workload.registry import Registry, without_zone
 registry = Registry()
 
 
+def _processed(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+
+
 def _clean_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a clean layer would hold had it been filled up to the cut-off."""
-    before = F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz")
-    return events(spark, sf_dir).where(before).select(F.col("s").alias(CURRENT_DT))
+    return _processed(events(spark, sf_dir)).select(F.col("s").alias(CURRENT_DT))
 
 
 def _analytic_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,3 +95,73 @@ def _register(spec: FeedSpec) -> None:
 
 for _spec in FEEDS.values():
     _register(_spec)
+
+
+@registry.add("json_text_daily", clean_sql("daily"))
+def _json_text_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON text in a column."""
+    text = documents(spark, sf_dir).select(F.to_json(F.struct("*")).alias("text"))
+    return without_zone(raw_to_clean(DAILY, parse_raw(text, F.col("text"), DOCUMENT_SCHEMA)))
+
+
+def _json_files(spark: SparkSession, rows: DataFrame) -> str:
+    path = staging_path(spark, "raw-json")
+    rows.write.json(path)
+    return path
+
+
+@registry.add("json_scan_hourly", clean_sql("hourly"))
+def _json_scan_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in JSON files, read by a declared schema."""
+    path = _json_files(spark, documents(spark, sf_dir))
+    return without_zone(raw_to_clean(HOURLY, read_raw(spark, path, DOCUMENT_SCHEMA)))
+
+
+@registry.add("json_scan_inferred_current", clean_sql("current"))
+def _json_scan_inferred_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in JSON files whose schema Spark infers."""
+    path = _json_files(spark, documents(spark, sf_dir))
+    return without_zone(raw_to_clean(CURRENT, read_raw(spark, path, None)))
+
+
+def _stored_hops(spec: FeedSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both hops twice through JSON files and stored layers: first with the processed
+    documents, then with all of them; returns what the second run left in the last layer."""
+    clean, analytic = staging_path(spark, "clean"), staging_path(spark, "analytic")
+    rows = events(spark, sf_dir)
+    history: tuple[dict, dict] = ({}, {})
+    for batch in (_processed(rows), rows):
+        raw = read_raw(spark, _json_files(spark, documents_of(batch)), DOCUMENT_SCHEMA)
+        run_raw_to_clean(raw, clean, [spec], history[0])
+        run_clean_to_analytic(spark, clean, analytic, [spec], history[1])
+        history = (
+            {spec.name: read_layer(spark, layer_path(clean, spec))},
+            {spec.name: read_layer(spark, layer_path(analytic, spec))},
+        )
+    return without_zone(read_layer(spark, layer_path(analytic, spec)))
+
+
+@registry.add("stored_hops_current", _analytic_sql(CURRENT, f"s > {_newest_sql()}"))
+def _stored_hops_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_hops(CURRENT, spark, sf_dir)
+
+
+def _newest_with_elements_sql(feed: str) -> str:
+    """An observation without elements leaves no clean row, so it cannot be the mark."""
+    processed = clean_sql(feed, f"ts < TIMESTAMP '{CUTOFF}'")
+    return f"(SELECT max(current_dt) FROM ({processed}))"
+
+
+@registry.add(
+    "stored_hops_hourly", _analytic_sql(HOURLY, f"s > {_newest_with_elements_sql('hourly')}")
+)
+def _stored_hops_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_hops(HOURLY, spark, sf_dir)
+
+
+@registry.add(
+    "stored_hops_minutely",
+    _analytic_sql(MINUTELY, f"s > {_newest_with_elements_sql('minutely')}"),
+)
+def _stored_hops_minutely(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_hops(MINUTELY, spark, sf_dir)
