@@ -7,9 +7,10 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.feeds import FEEDS, raw_schema
-from tidemark.plans.jobs import run_clean_to_analytic, run_raw_to_clean
+from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.session import configure
 from tidemark.sources.readers import read_layer, read_raw, read_table
+from tidemark.sources.writers import require_apart
 
 
 def _history(spark: SparkSession, entries: list[str]) -> dict[str, DataFrame]:
@@ -54,6 +55,8 @@ def main(arguments: list[str] | None = None) -> None:
     feeds = [FEEDS[name] for name in args.feed or FEEDS]
     history = _history(spark, args.history)
     if args.hop == "clean":
+        for spec in feeds:
+            require_apart(args.raw, layer_path(args.out, spec))
         schema = None if args.infer else raw_schema(args.variant)
         raw = read_raw(spark, args.raw, schema)
         results = run_raw_to_clean(raw, args.out, feeds, history, args.overwrite)

@@ -18,7 +18,7 @@ from tidemark.plans.feeds import (
 from tidemark.plans.pipelines import analytic_mark, analytic_rows, clean_mark, clean_rows
 from tidemark.sources.readers import read_layer
 from tidemark.sources.staging import staged
-from tidemark.sources.writers import Overwrite, compact, write_partitioned
+from tidemark.sources.writers import Overwrite, compact, require_apart, write_partitioned
 
 ALL_FEEDS = tuple(FEEDS.values())
 
@@ -74,6 +74,7 @@ def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: s
     history = history or {}
     results = []
     for spec in feeds:
+        require_apart(layer_path(clean_root, spec), layer_path(analytic_root, spec))
         mark = _value(analytic_mark(history.get(spec.name)))
         clean = read_layer(spark, layer_path(clean_root, spec))
         rows = analytic_rows(spec, newer_than(clean, WEATHER_TIME, mark, lookback, DATE_PARTITION))

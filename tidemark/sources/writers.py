@@ -23,10 +23,18 @@ def compact(df: DataFrame, by: str | Sequence[str], n: int | None = None) -> Dat
     return df.hint("rebalance", *([] if n is None else [n]), *columns)
 
 
+def require_apart(source: str, target: str) -> None:
+    """Raise if one path lies within the other. Replacing a directory deletes it before its
+    rows are read; to rewrite a layer in place, stage the new rows first."""
+    inner, outer = (f"{path.rstrip('/')}/" for path in (source, target))
+    if inner.startswith(outer) or outer.startswith(inner):
+        raise ValueError(f"{target!r} would be overwritten while {source!r} is read")
+
+
 def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str],
                       overwrite: Overwrite = "all",
                       max_records_per_file: int | None = None) -> None:
-    """Write ``df`` to ``path`` with one directory per value of ``by``.
+    """Write ``df``, which must not read from ``path``, to one directory per value of ``by``.
 
     ``all`` replaces everything below ``path``, ``touched`` only the directories ``df`` has
     rows for. Both are set on the write itself, so no session setting changes the outcome."""
