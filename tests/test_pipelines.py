@@ -4,7 +4,7 @@ from datetime import date, datetime
 import pytest
 
 from tidemark import FEEDS, RAW_SCHEMA, clean_to_analytic, high_precision, raw_schema, raw_to_clean
-from tidemark import read_raw
+from tidemark import needed_schema, read_raw
 from tidemark.plans.pipelines import clean_rows
 from weather import DAY, HOUR, LIMA, LONDON, NOON, day, document, hour, minute, weather, write_json
 
@@ -215,5 +215,16 @@ def test_a_feed_reads_its_own_nested_fields_of_columnar_documents(raw, plan, spa
     assert "PushedFilters: [IsNotNull(current.dt), GreaterThan(current.dt,0)]" in text
 
 
+def test_needed_schema_declares_what_feeds_read():
+    assert needed_schema([MINUTELY]).simpleString() == (
+        "struct<lat:double,lon:double,timezone:string,timezone_offset:int,"
+        "current:struct<dt:int>,minutely:array<struct<dt:int,precipitation:double>>>"
+    )
+    both = needed_schema([CURRENT, DAILY])
+    assert both.names == ["lat", "lon", "timezone", "timezone_offset", "current", "daily"]
+    assert both["current"] == RAW_SCHEMA["current"]
+    assert needed_schema(FEEDS.values()) == RAW_SCHEMA
+
+
 def test_weather_helper_is_what_documents_hold():
     assert weather(1)[0]["icon"] == "1d"

@@ -20,6 +20,23 @@ def test_values_that_do_not_fit_become_null(spark):
     assert row["d"] != row["d"]
 
 
+@pytest.mark.parametrize("source", ["double", "float", "bigint", "decimal(38,3)"])
+def test_bounds_of_small_integers_are_exact(spark, source):
+    df = spark.sql(
+        f"""SELECT CAST(x AS {source}) AS x FROM VALUES
+            (-129.0), (-128.9), (-128.0), (-0.9), (0.0), (127.0), (127.9), (128.0), (NULL)
+            AS t(x)"""
+    )
+    got = [row[0] for row in enforce(df, {"x": "byte"}).collect()]
+    wanted = [row[0] for row in df.selectExpr("try_cast(x AS TINYINT)").collect()]
+    assert got == wanted and None in got and 127 in got and -128 in got
+
+
+def test_numbers_that_do_not_fit_are_found_without_raising(spark, plan):
+    df = spark.sql("SELECT id * 1e9D AS x FROM range(10)")
+    assert "try_cast" not in plan(enforce(df, {"x": "integer"}))
+
+
 def test_strict_mode_fails_on_them(spark):
     df = spark.sql("SELECT 'no number' AS b")
     with pytest.raises(PySparkException):

@@ -52,6 +52,15 @@ def test_text_column_is_parsed(spark):
     assert parsed.selectExpr("lat", "daily[0].temp.day").first() == (3.0, 1.5)
 
 
+def test_text_is_parsed_once_though_fields_are_filtered(spark, plan):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    parsed = parse_raw(df, F.col("props"), "k INT, m INT").where("k > 5").select("k")
+    text = plan(parsed, "extended")
+    assert text[text.index("== Physical Plan =="):].count("from_json") == 1
+    nulls = parse_raw(spark.sql("SELECT CAST(NULL AS STRING) AS t"), F.col("t"), "k INT")
+    assert nulls.first() == (None,)
+
+
 def test_overwrite_all_replaces_everything(spark, tmp_path):
     path = f"{tmp_path}/layer"
     write_partitioned(sample(spark, "2024-01-01", "2024-01-02"), path, "day")

@@ -12,7 +12,14 @@ from tidemark.operators.incremental import (
 from tidemark.operators.nested import flatten_all, flatten_struct, flatten_structs, struct_columns
 from tidemark.operators.reconcile import merge_variants, variant_groups
 from tidemark.operators.shaping import enforce, rename_drop, reorder
-from tidemark.plans.feeds import FEEDS, RAW_SCHEMA, FeedSpec, high_precision, raw_schema
+from tidemark.plans.feeds import (
+    FEEDS,
+    RAW_SCHEMA,
+    FeedSpec,
+    high_precision,
+    needed_schema,
+    raw_schema,
+)
 from tidemark.plans.jobs import run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
 from tidemark.session import configure
@@ -38,6 +45,7 @@ __all__ = [
     "high_water_mark",
     "max_length",
     "merge_variants",
+    "needed_schema",
     "newer_than",
     "newer_than_per_key",
     "parse_raw",

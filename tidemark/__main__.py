@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.feeds import FEEDS, raw_schema
+from tidemark.plans.feeds import FEEDS, needed_schema, raw_schema
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.session import configure
 from tidemark.sources.readers import read_layer, read_raw, read_table
@@ -57,7 +57,7 @@ def main(arguments: list[str] | None = None) -> None:
     if args.hop == "clean":
         for spec in feeds:
             require_apart(args.raw, layer_path(args.out, spec))
-        schema = None if args.infer else raw_schema(args.variant)
+        schema = None if args.infer else needed_schema(feeds, raw_schema(args.variant))
         raw = read_raw(spark, args.raw, schema)
         results = run_raw_to_clean(raw, args.out, feeds, history, args.overwrite)
     else:

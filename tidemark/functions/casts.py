@@ -4,14 +4,38 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, NumericType
 
 CastMode = Literal["cast", "try_cast"]
 
+#: Bounds, exclusive, of what a number may be before its fraction is cut off.
+_BOUNDS = {
+    "int": (-(2**31) - 1, 2**31),
+    "smallint": (-(2**15) - 1, 2**15),
+    "tinyint": (-(2**7) - 1, 2**7),
+}
+_SPELLINGS = {"integer": "int", "short": "smallint", "byte": "tinyint"}
 
-def cast_as(expression: str, to: DataType | str, mode: CastMode = "try_cast") -> str:
+
+def type_name(data_type: DataType | str) -> str:
+    """Name of a type as SQL spells it."""
+    name = data_type if isinstance(data_type, str) else data_type.simpleString()
+    return _SPELLINGS.get(name.lower(), name)
+
+
+def cast_as(expression: str, to: DataType | str, mode: CastMode = "try_cast",
+            source: DataType | None = None) -> str:
     """SQL text that casts ``expression``; ``try_cast`` turns what does not fit into NULL,
-    ``cast`` follows the session's ANSI setting."""
+    ``cast`` follows the session's ANSI setting.
+
+    If ``source``, the type of the expression, is known to be numeric, the range is checked
+    before a cast to a small integer. The result is the same, but ``try_cast`` raises and
+    catches an exception for each value that does not fit, which costs microseconds a row."""
+    name = type_name(to)
     if mode not in ("cast", "try_cast"):
         raise ValueError(f"unknown cast mode {mode!r}")
-    return f"{mode}({expression} AS {to if isinstance(to, str) else to.simpleString()})"
+    if mode == "try_cast" and name in _BOUNDS and isinstance(source, NumericType):
+        low, high = _BOUNDS[name]
+        fits = f"{expression} > {low} AND {expression} < {high}"
+        return f"CASE WHEN {fits} THEN CAST({expression} AS {name}) END"
+    return f"{mode}({expression} AS {name})"

@@ -6,9 +6,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from typing import Literal
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructField
 
-from tidemark.functions.casts import CastMode, cast_as
+from tidemark.functions.casts import CastMode, cast_as, type_name
 from tidemark.functions.naming import (
     aliased,
     quoted,
@@ -18,6 +18,10 @@ from tidemark.functions.naming import (
 )
 
 
+def _differs(field: StructField, wanted: DataType | str | None) -> bool:
+    return wanted is not None and type_name(wanted) != field.dataType.simpleString()
+
+
 def enforce(df: DataFrame, types: Mapping[str, DataType | str],
             mode: CastMode = "try_cast") -> DataFrame:
     """Cast the columns named in ``types``, all in one projection. Names that are absent are
@@ -26,10 +30,13 @@ def enforce(df: DataFrame, types: Mapping[str, DataType | str],
     wanted = {key(name): data_type for name, data_type in types.items()}
     return df.selectExpr(
         *(
-            aliased(cast_as(quoted(name), wanted[key(name)], mode), name)
-            if key(name) in wanted
-            else quoted(name)
-            for name in df.columns
+            aliased(
+                cast_as(quoted(field.name), wanted[key(field.name)], mode, field.dataType),
+                field.name,
+            )
+            if _differs(field, wanted.get(key(field.name)))
+            else quoted(field.name)
+            for field in df.schema
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from typing import Literal
 
@@ -19,7 +19,9 @@ from pyspark.sql.types import (
 SECONDS_PER_DAY = 86400
 
 #: Names that hold for all feeds and both layers.
-OBSERVATION_EPOCH = "current.dt"
+OBSERVATION = "current"
+OBSERVATION_DT = "dt"
+OBSERVATION_EPOCH = f"{OBSERVATION}.{OBSERVATION_DT}"
 LOCATION = ("lat", "lon", "timezone", "timezone_offset")
 CURRENT_DT = "current_dt"
 WEATHER_TIME = "current_weather_time"
@@ -186,6 +188,22 @@ def raw_schema(variants: Collection[str] = ()) -> StructType:
 
 RAW_SCHEMA = raw_schema()
 
+def needed_schema(specs: Iterable[FeedSpec], schema: StructType = RAW_SCHEMA) -> StructType:
+    """The part of a raw schema that some feeds read. JSON is parsed as far as the declared
+    schema goes, and of the observation most feeds need only its time."""
+    specs = tuple(specs)
+    names = {name for spec in specs for name in spec.raw_columns}
+    whole = any(spec.array is None for spec in specs)
+    fields = []
+    for column in schema:
+        if column.name == OBSERVATION and not whole:
+            time = StructType([column.dataType[OBSERVATION_DT]])
+            fields.append(StructField(OBSERVATION, time))
+        elif column.name in names:
+            fields.append(column)
+    return StructType(fields)
+
+
 # --- Feeds ----------------------------------------------------------------------------------
 
 
@@ -219,7 +237,8 @@ class FeedSpec:
     @property
     def raw_columns(self) -> tuple[str, ...]:
         """Top-level raw columns the feed reads."""
-        return (*LOCATION, "current") if self.array is None else (*LOCATION, "current", self.array)
+        own = () if self.array is None else (self.array,)
+        return (*LOCATION, OBSERVATION, *own)
 
     @property
     def grain(self) -> tuple[str, ...]:

@@ -6,11 +6,15 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.naming import column
 from tidemark.operators.incremental import Mark, newer_than, read_mark, run_if_any
 from tidemark.plans.feeds import (
     DATE_PARTITION,
     FEEDS,
+    OBSERVATION,
+    OBSERVATION_DT,
     OBSERVATION_EPOCH,
     WEATHER_TIME,
     FeedSpec,
@@ -53,8 +57,7 @@ def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec]
     feeds, history = tuple(feeds), history or {}
     marks = {spec.name: _value(clean_mark(history.get(spec.name))) for spec in feeds}
     oldest = min(marks[spec.name] - spec.lookback for spec in feeds)
-    needed = dict.fromkeys(name for spec in feeds for name in spec.raw_columns)
-    increment = newer_than(raw.select(*needed), OBSERVATION_EPOCH, oldest)
+    increment = newer_than(_needed(raw, feeds), OBSERVATION_EPOCH, oldest)
     results = []
     with staged(increment, "raw-increment") as documents:
         for spec in feeds:
@@ -83,6 +86,15 @@ def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: s
     return results
 
 
+def _needed(raw: DataFrame, feeds: tuple[FeedSpec, ...]) -> DataFrame:
+    """What the feeds read of the raw documents; of the observation often just its time."""
+    names = dict.fromkeys(name for spec in feeds for name in spec.raw_columns)
+    if all(spec.array is not None for spec in feeds):
+        time = column(OBSERVATION, OBSERVATION_DT).alias(OBSERVATION_DT)
+        raw = raw.withColumn(OBSERVATION, F.struct(time))
+    return raw.select(*names)
+
+
 def _writer(path: str, overwrite: Overwrite, compacted: bool = False):
     def write(rows: DataFrame) -> bool:
         if compacted:

@@ -28,6 +28,8 @@ from tidemark.plans.feeds import (
     CURRENT_DT,
     DATE_PARTITION,
     LOCATION,
+    OBSERVATION,
+    OBSERVATION_DT,
     OBSERVATION_EPOCH,
     TIME_PREFIX,
     WEATHER_TIME,
@@ -59,10 +61,10 @@ def clean_rows(spec: FeedSpec, raw: DataFrame, mode: CastMode = "try_cast",
     """Clean rows of all documents in ``raw``. ``outer`` keeps a row for documents whose
     array is null or empty."""
     if spec.array is None:
-        rows = raw.select(*LOCATION, "current").transform(flatten_struct, "current")
+        rows = raw.select(*LOCATION, OBSERVATION).transform(flatten_struct, OBSERVATION)
     else:
         rows = raw.select(
-            *LOCATION, column("current", "dt").alias(CURRENT_DT), spec.array
+            *LOCATION, column(OBSERVATION, OBSERVATION_DT).alias(CURRENT_DT), spec.array
         ).transform(explode_prefix, spec.array, spec.prefix, outer)
     if spec.weather is not None:
         rows = first_struct(rows, spec.weather)

@@ -16,8 +16,13 @@ def read_raw(spark: SparkSession, path: str, schema: StructType | None) -> DataF
 
 
 def parse_raw(df: DataFrame, text: Column, schema: StructType) -> DataFrame:
-    """Documents held as JSON text in a column, e.g. of a table the raw files landed in."""
-    return df.select(F.from_json(text, schema).alias("document")).select("document.*")
+    """Documents held as JSON text in a column, e.g. of a table the raw files landed in.
+
+    The fields come out of a generator, which parses each text once. Were they taken from a
+    parsed column, the optimizer would parse anew for filters on them. It cannot leave out
+    fields by itself here, so pass a schema of those that are needed."""
+    document = F.array(F.from_json(text, schema))
+    return df.select(F.inline(document))
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

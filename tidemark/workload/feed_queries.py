@@ -14,6 +14,7 @@ from tidemark.plans.feeds import (
     MINUTELY,
     WEATHER_TIME,
     FeedSpec,
+    needed_schema,
 )
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
@@ -101,26 +102,29 @@ for _spec in FEEDS.values():
 def _json_text_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as JSON text in a column."""
     text = documents(spark, sf_dir).select(F.to_json(F.struct("*")).alias("text"))
-    return without_zone(raw_to_clean(DAILY, parse_raw(text, F.col("text"), DOCUMENT_SCHEMA)))
+    parsed = parse_raw(text, F.col("text"), needed_schema([DAILY], DOCUMENT_SCHEMA))
+    return without_zone(raw_to_clean(DAILY, parsed))
 
 
-def _json_files(spark: SparkSession, rows: DataFrame) -> str:
+def _json_files(spark: SparkSession, spec: FeedSpec, rows: DataFrame) -> str:
+    """Documents in a directory of JSON files, without the arrays of other feeds."""
     path = staging_path(spark, "raw-json")
-    rows.write.json(path)
+    documents_of(rows).select(*spec.raw_columns).write.json(path)
     return path
 
 
 @registry.add("json_scan_hourly", clean_sql("hourly"))
 def _json_scan_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in JSON files, read by a declared schema."""
-    path = _json_files(spark, documents(spark, sf_dir))
-    return without_zone(raw_to_clean(HOURLY, read_raw(spark, path, DOCUMENT_SCHEMA)))
+    path = _json_files(spark, HOURLY, events(spark, sf_dir))
+    raw = read_raw(spark, path, needed_schema([HOURLY], DOCUMENT_SCHEMA))
+    return without_zone(raw_to_clean(HOURLY, raw))
 
 
 @registry.add("json_scan_inferred_current", clean_sql("current"))
 def _json_scan_inferred_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in JSON files whose schema Spark infers."""
-    path = _json_files(spark, documents(spark, sf_dir))
+    path = _json_files(spark, CURRENT, events(spark, sf_dir))
     return without_zone(raw_to_clean(CURRENT, read_raw(spark, path, None)))
 
 
@@ -131,7 +135,8 @@ def _stored_hops(spec: FeedSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir)
     history: tuple[dict, dict] = ({}, {})
     for batch in (_processed(rows), rows):
-        raw = read_raw(spark, _json_files(spark, documents_of(batch)), DOCUMENT_SCHEMA)
+        path = _json_files(spark, spec, batch)
+        raw = read_raw(spark, path, needed_schema([spec], DOCUMENT_SCHEMA))
         run_raw_to_clean(raw, clean, [spec], history[0])
         run_clean_to_analytic(spark, clean, analytic, [spec], history[1])
         history = (
