@@ -134,6 +134,12 @@ def test_more_than_the_first_struct_is_flattened_alike(spark):
     assert two.columns == ["id", "xs[0]_dt", "xs[0]_v", "xs[1]_dt", "xs[1]_v"]
 
 
+def test_split_columns_can_be_named(spark):
+    df = spark.sql(ARRAYS)
+    first = first_struct(df, "xs", namer=lambda array, i: f"{array}_{i}")
+    assert first.columns == ["id", "xs_0_dt", "xs_0_v"]
+
+
 def test_first_struct_needs_structs(spark):
     with pytest.raises(TypeError):
         first_struct(spark.sql("SELECT array(1) AS xs"), "xs")

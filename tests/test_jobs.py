@@ -145,6 +145,27 @@ def test_touched_dates_only(place, spark):
     assert sorted(r[0] for r in rows) == [NOON, NOON + DAY + 1]
 
 
+def test_backfill_over_many_dates_can_be_compacted(place, spark):
+    for i in range(3):
+        place.land(*(full(NOON + d * DAY + i) for d in range(5)))
+    raw = read_raw(spark, place.raw, RAW_SCHEMA).repartition(6)
+    hourly = [FEEDS["hourly"]]
+    run_raw_to_clean(raw, place.clean, hourly)
+    loose = len(glob.glob(f"{place.clean}/hourly/*/*.parquet"))
+    run_raw_to_clean(raw, place.clean, hourly, compacted=True)
+    assert len(glob.glob(f"{place.clean}/hourly/*/*.parquet")) == 5 <= loose
+    assert read_layer(spark, f"{place.clean}/hourly").count() == 30
+
+
+def test_batch_without_an_array_leaves_that_feed_alone(place, spark):
+    place.land(document(NOON, hourly=[hour(NOON)]))
+    raw = read_raw(spark, place.raw, None)
+    results = run_raw_to_clean(raw, place.clean)
+    assert [r.feed for r in results] == list(FEEDS)
+    assert written(results) == {"current", "hourly"}
+    assert written(run_raw_to_clean(raw, place.clean, [FEEDS["daily"]])) == set()
+
+
 def test_command_line_runs_both_hops(place, spark, capsys):
     place.land(full(NOON))
     main(["clean", "--raw", place.raw, "--out", place.clean])

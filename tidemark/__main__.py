@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
         hop.add_argument("--feed", action="append", choices=list(FEEDS))
         hop.add_argument("--history", action="append", default=[], metavar="FEED=PLACE",
                          help="table or directory whose newest row is the high-water mark")
+        hop.add_argument("--compact", action="store_true",
+                         help="bring the rows of each date together before writing")
         hop.add_argument("--overwrite", choices=["all", "touched"], default="all")
     return parser
 
@@ -59,10 +61,13 @@ def main(arguments: list[str] | None = None) -> None:
             require_apart(args.raw, layer_path(args.out, spec))
         schema = None if args.infer else needed_schema(feeds, raw_schema(args.variant))
         raw = read_raw(spark, args.raw, schema)
-        results = run_raw_to_clean(raw, args.out, feeds, history, args.overwrite)
+        results = run_raw_to_clean(
+            raw, args.out, feeds, history, args.overwrite, args.compact
+        )
     else:
         results = run_clean_to_analytic(
-            spark, args.clean, args.out, feeds, history, args.overwrite, args.lookback
+            spark, args.clean, args.out, feeds, history, args.overwrite, args.lookback,
+            args.compact or None
         )
     for result in results:
         print(f"{result.feed}: newer than {result.mark}: "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -16,6 +18,8 @@ from tidemark.functions.naming import (
 )
 from tidemark.operators.nested import flatten_struct, flatten_structs
 
+Namer = Callable[[str, int], str]
+
 
 def _array_type(df: DataFrame, name: str) -> ArrayType:
     require_columns(df, [name])
@@ -63,9 +67,15 @@ def max_length(df: DataFrame, array: str) -> int:
     return max(longest or 0, 0)
 
 
-def split_to_columns(df: DataFrame, array: str, width: int | None = None) -> DataFrame:
+def bracketed(array: str, i: int) -> str:
+    """Name of the ``i``-th column an array is split into, as Spark itself would call it."""
+    return f"{array}[{i}]"
+
+
+def split_to_columns(df: DataFrame, array: str, width: int | None = None,
+                     namer: Namer = bracketed) -> DataFrame:
     """Replace ``array`` by columns ``<array>[0]`` … ``<array>[width - 1]`` at the end, NULL
-    beyond an array's length.
+    beyond an array's length. ``namer`` gives them other names.
 
     A fixed ``width`` gives every batch one schema and costs no job; without it the longest
     array of the batch decides, as :func:`max_length` finds it."""
@@ -73,7 +83,7 @@ def split_to_columns(df: DataFrame, array: str, width: int | None = None) -> Dat
     if width is None:
         width = max_length(df, array)
     rest = _others(df, array)
-    names = [f"{array}[{i}]" for i in range(width)]
+    names = [namer(array, i) for i in range(width)]
     require_distinct(df, [*rest, *names])
     return df.selectExpr(
         *map(quoted, rest),
@@ -81,12 +91,13 @@ def split_to_columns(df: DataFrame, array: str, width: int | None = None) -> Dat
     )
 
 
-def first_struct(df: DataFrame, array: str, width: int = 1, sep: str = "_") -> DataFrame:
+def first_struct(df: DataFrame, array: str, width: int = 1, sep: str = "_",
+                 namer: Namer = bracketed) -> DataFrame:
     """Split an array of structs and flatten the elements: ``<array>[0]_<field>``, …
 
     The columns exist, as NULLs, even if every array of the batch is empty."""
     element = _array_type(df, array).elementType
     if not isinstance(element, StructType):
         raise TypeError(f"{array!r} holds {element.simpleString()}, not structs")
-    promoted = [f"{array}[{i}]" for i in range(width)]
-    return flatten_structs(split_to_columns(df, array, width), promoted, sep, deep=True)
+    promoted = [namer(array, i) for i in range(width)]
+    return flatten_structs(split_to_columns(df, array, width, namer), promoted, sep, deep=True)

@@ -47,33 +47,43 @@ def _value(mark: DataFrame | Mark) -> Mark:
 
 def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec] = ALL_FEEDS,
                      history: Mapping[str, DataFrame] | None = None,
-                     overwrite: Overwrite = "all") -> list[HopResult]:
+                     overwrite: Overwrite = "all", compacted: bool = False) -> list[HopResult]:
     """Write the clean increment of each feed below ``clean_root``.
 
     ``history`` holds, by feed name, what was cleaned before; a feed without one starts from
     nothing. The raw documents are parsed once for all feeds: those newer than the oldest
     mark are staged as Parquet, from which each feed reads its own fields and increment. A
-    feed whose increment gives no row is not written, so its last output stays."""
+    feed whose increment gives no row, or whose array an inferred schema does not even have,
+    is not written, so its last output stays.
+
+    Every task writes a file for each date it meets. An increment spans few dates; for a
+    backfill over many, ``compacted`` brings the rows of a date together first."""
     feeds, history = tuple(feeds), history or {}
     marks = {spec.name: _value(clean_mark(history.get(spec.name))) for spec in feeds}
-    oldest = min(marks[spec.name] - spec.lookback for spec in feeds)
-    increment = newer_than(_needed(raw, feeds), OBSERVATION_EPOCH, oldest)
-    results = []
-    with staged(increment, "raw-increment") as documents:
-        for spec in feeds:
-            mark = marks[spec.name]
-            rows = clean_rows(spec, newer_than(documents, OBSERVATION_EPOCH, mark, spec.lookback))
-            written = run_if_any(rows, _writer(layer_path(clean_root, spec), overwrite))
-            results.append(HopResult(spec.name, mark, bool(written)))
-    return results
+    present = [spec for spec in feeds if spec.array is None or spec.array in raw.columns]
+    written = set()
+    if present:
+        oldest = min(marks[spec.name] - spec.lookback for spec in present)
+        increment = newer_than(_needed(raw, present), OBSERVATION_EPOCH, oldest)
+        with staged(increment, "raw-increment") as documents:
+            for spec in present:
+                newer = newer_than(
+                    documents, OBSERVATION_EPOCH, marks[spec.name], spec.lookback
+                )
+                write = _writer(layer_path(clean_root, spec), overwrite, compacted)
+                if run_if_any(clean_rows(spec, newer), write):
+                    written.add(spec.name)
+    return [HopResult(spec.name, marks[spec.name], spec.name in written) for spec in feeds]
 
 
 def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: str,
                           feeds: Iterable[FeedSpec] = ALL_FEEDS,
                           history: Mapping[str, DataFrame] | None = None,
-                          overwrite: Overwrite = "all", lookback: int = 0) -> list[HopResult]:
+                          overwrite: Overwrite = "all", lookback: int = 0,
+                          compacted: bool | None = None) -> list[HopResult]:
     """Write the analytic increment of each feed below ``analytic_root``, from the clean
-    layer below ``clean_root`` and by the ``history`` of analytic rows."""
+    layer below ``clean_root`` and by the ``history`` of analytic rows. Whether rows of a date
+    are brought together is up to the feed unless ``compacted`` says so."""
     history = history or {}
     results = []
     for spec in feeds:
@@ -81,12 +91,13 @@ def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: s
         mark = _value(analytic_mark(history.get(spec.name)))
         clean = read_layer(spark, layer_path(clean_root, spec))
         rows = analytic_rows(spec, newer_than(clean, WEATHER_TIME, mark, lookback, DATE_PARTITION))
-        write = _writer(layer_path(analytic_root, spec), overwrite, spec.compact)
+        write = _writer(layer_path(analytic_root, spec), overwrite,
+                        spec.compact if compacted is None else compacted)
         results.append(HopResult(spec.name, mark, bool(run_if_any(rows, write))))
     return results
 
 
-def _needed(raw: DataFrame, feeds: tuple[FeedSpec, ...]) -> DataFrame:
+def _needed(raw: DataFrame, feeds: Iterable[FeedSpec]) -> DataFrame:
     """What the feeds read of the raw documents; of the observation often just its time."""
     names = dict.fromkeys(name for spec in feeds for name in spec.raw_columns)
     if all(spec.array is not None for spec in feeds):
@@ -95,7 +106,7 @@ def _needed(raw: DataFrame, feeds: tuple[FeedSpec, ...]) -> DataFrame:
     return raw.select(*names)
 
 
-def _writer(path: str, overwrite: Overwrite, compacted: bool = False):
+def _writer(path: str, overwrite: Overwrite, compacted: bool):
     def write(rows: DataFrame) -> bool:
         if compacted:
             rows = compact(rows, DATE_PARTITION)

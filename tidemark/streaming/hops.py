@@ -1,7 +1,8 @@
 """The two hops over streams of files.
 
 The stream's checkpoint takes the place of the high-water mark: each raw file is read once,
-however late its observations are. The column work is that of the batch pipelines."""
+however late its observations are, so no look-back is needed and no state is kept. The column
+work is that of the batch pipelines."""
 
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.naming import column
-from tidemark.plans.feeds import CURRENT_DT, DATE_PARTITION, WEATHER_TIME, FeedSpec
+from tidemark.plans.feeds import DATE_PARTITION, OBSERVATION, OBSERVATION_DT, FeedSpec
 from tidemark.plans.pipelines import analytic_rows, clean_rows
 
 
@@ -28,14 +29,9 @@ def read_layer_stream(spark: SparkSession, path: str, schema: StructType) -> Dat
     return spark.readStream.schema(schema).parquet(path)
 
 
-def clean_stream(spec: FeedSpec, raw: DataFrame, late: str | None = None) -> DataFrame:
-    """Clean rows of a raw stream. Given ``late``, e.g. ``"3 days"``, a row that comes again
-    within that time of the newest observation is dropped, and so are rows that are later
-    still; the state holds one entry per row of that span."""
-    rows = clean_rows(spec, raw).where(column(CURRENT_DT).isNotNull())
-    if late is None:
-        return rows
-    return rows.withWatermark(WEATHER_TIME, late).dropDuplicatesWithinWatermark(list(spec.grain))
+def clean_stream(spec: FeedSpec, raw: DataFrame) -> DataFrame:
+    """Clean rows of a raw stream. Documents without an observation time are left out."""
+    return clean_rows(spec, raw.where(column(OBSERVATION, OBSERVATION_DT).isNotNull()))
 
 
 def analytic_stream(spec: FeedSpec, clean: DataFrame) -> DataFrame:
