@@ -119,6 +119,15 @@ def test_staging_is_cleared(place, spark):
     assert not glob.glob(f"{staging_root(spark)}/tidemark/raw-increment-*")
 
 
+def test_columnar_documents_need_no_staging(place, spark, tmp_path):
+    place.land(full(NOON))
+    read_raw(spark, place.raw, RAW_SCHEMA).write.parquet(str(tmp_path / "columnar"))
+    columnar = spark.read.parquet(str(tmp_path / "columnar"))
+    results = run_raw_to_clean(columnar, place.clean, stage=False)
+    assert written(results) == set(FEEDS)
+    assert place.rows("clean") == SIZES
+
+
 def test_raw_documents_are_parsed_once_for_all_feeds(place, spark):
     place.land(full(NOON))
     raw = read_raw(spark, place.raw, RAW_SCHEMA)

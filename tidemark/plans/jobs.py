@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +48,16 @@ def _value(mark: DataFrame | Mark) -> Mark:
 
 def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec] = ALL_FEEDS,
                      history: Mapping[str, DataFrame] | None = None,
-                     overwrite: Overwrite = "all", compacted: bool = False) -> list[HopResult]:
+                     overwrite: Overwrite = "all", compacted: bool = False,
+                     stage: bool = True) -> list[HopResult]:
     """Write the clean increment of each feed below ``clean_root``.
 
     ``history`` holds, by feed name, what was cleaned before; a feed without one starts from
     nothing. The raw documents are parsed once for all feeds: those newer than the oldest
     mark are staged as Parquet, from which each feed reads its own fields and increment. A
     feed whose increment gives no row, or whose array an inferred schema does not even have,
-    is not written, so its last output stays.
+    is not written, so its last output stays. Raw documents that are columnar already need no
+    ``stage``.
 
     Every task writes a file for each date it meets. An increment spans few dates; for a
     backfill over many, ``compacted`` brings the rows of a date together first."""
@@ -65,7 +68,7 @@ def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec]
     if present:
         oldest = min(marks[spec.name] - spec.lookback for spec in present)
         increment = newer_than(_needed(raw, present), OBSERVATION_EPOCH, oldest)
-        with staged(increment, "raw-increment") as documents:
+        with staged(increment, "raw-increment") if stage else nullcontext(increment) as documents:
             for spec in present:
                 newer = newer_than(
                     documents, OBSERVATION_EPOCH, marks[spec.name], spec.lookback
