@@ -177,6 +177,31 @@ def test_per_key_marks_are_broadcast_by_measured_size_else_joined_by_shuffle(
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_key_beyond_the_broadcast_threshold_is_split(spark, plan):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.sql(
+            "SELECT IF(id % 3 = 0, 0, id % 500) AS place, id AS dt, "
+            "sha2(CAST(id AS STRING), 256) AS text FROM range(0, 20000, 1, 16)"
+        )
+        newer = newer_than_per_key(rows, "dt", rows.where("dt < 3000"), ["place"])
+        assert len(newer.collect()) == 17000
+        text = plan(newer, "simple")
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in text
+
+
 def test_gate(spark):
     calls = []
     assert run_if_any(seconds(spark).limit(0), calls.append) is None

@@ -14,12 +14,14 @@ from tidemark.plans.feeds import (
     MINUTELY,
     WEATHER_TIME,
     FeedSpec,
+    high_precision,
     needed_schema,
 )
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
 from tidemark.sources.readers import parse_raw, read_layer, read_raw
 from tidemark.sources.staging import staging_path
+from tidemark.streaming import clean_stream, read_raw_stream, start_layer
 from tidemark.workload.inputs import (
     CUTOFF,
     DOCUMENT_SCHEMA,
@@ -170,3 +172,59 @@ def _stored_hops_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _stored_hops_minutely(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_hops(MINUTELY, spark, sf_dir)
+
+
+@registry.add("stream_clean_current", clean_sql("current"))
+def _stream_clean_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in JSON files, taken up as a stream that ends with what is there."""
+    path = _json_files(spark, CURRENT, events(spark, sf_dir))
+    schema = needed_schema([CURRENT], DOCUMENT_SCHEMA)
+    layer, checkpoint = staging_path(spark, "streamed"), staging_path(spark, "progress")
+    rows = clean_stream(CURRENT, read_raw_stream(spark, path, schema))
+    start_layer(rows, layer, checkpoint).awaitTermination()
+    return without_zone(read_layer(spark, layer, rows.schema))
+
+
+@registry.add(
+    "clean_minutely_high_precision",
+    f"""
+    SELECT * EXCLUDE (time_precipitation_amt_precipitation, exact),
+           exact AS time_precipitation_amt_precipitation
+    FROM ({clean_sql("minutely", columns="v * 0.125 - i AS exact")})
+    """,
+)
+def _clean_minutely_high_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_zone(raw_to_clean(high_precision(MINUTELY), documents(spark, sf_dir)))
+
+
+@registry.add(
+    "clean_minutely_dedupe",
+    f"""
+    SELECT DISTINCT lat, lon, current_dt, time_precipitation_amt_dt
+    FROM ({clean_sql("minutely")})
+    """,
+)
+def _clean_minutely_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents twice, without the copies. Places are derived from users such that some
+    share one, so only the columns that tell rows apart are compared."""
+    raw = documents(spark, sf_dir)
+    rows = raw_to_clean(MINUTELY, raw.unionAll(raw), dedupe=True)
+    return rows.select(*MINUTELY.grain)
+
+
+@registry.add(
+    "clean_current_per_place",
+    f"""
+    WITH clean AS ({clean_sql("current", columns="ts")}),
+    marks AS (SELECT lat, lon, max(current_dt) AS mark FROM clean
+              WHERE ts < TIMESTAMP '{CUTOFF}' GROUP BY lat, lon)
+    SELECT clean.* EXCLUDE (ts) FROM clean LEFT JOIN marks USING (lat, lon)
+    WHERE current_dt > coalesce(mark, 0)
+    """,
+)
+def _clean_current_per_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each place measured by its own history."""
+    rows = events(spark, sf_dir)
+    history = raw_to_clean(CURRENT, documents_of(_processed(rows)))
+    place = ("lat", "lon")
+    return without_zone(raw_to_clean(CURRENT, documents_of(rows), history, keys=place))

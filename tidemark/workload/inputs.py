@@ -250,13 +250,13 @@ _OWN_SQL = {
 }
 
 
-def clean_sql(feed: str, where: str = "true") -> str:
-    """The clean layer of a feed, stated flat over ``events``."""
+def clean_sql(feed: str, where: str = "true", columns: str | None = None) -> str:
+    """The clean layer of a feed, stated flat over ``events``, with ``columns`` besides."""
     steps = "" if feed == "current" else ", (SELECT CAST(range AS INTEGER) AS i FROM range(7))"
     exists = ELEMENTS_SQL.get(feed, "true")
     return f"""
     WITH {EVENTS_CTE}
-    SELECT {_LOCATION_SQL}, {_OWN_SQL[feed]}
+    SELECT {_LOCATION_SQL}, {_OWN_SQL[feed]}{"" if columns is None else f", {columns}"}
     FROM e{steps}
     WHERE {exists} AND {where}
     """
