@@ -138,6 +138,13 @@ def test_copies_can_be_dropped(spark, tmp_path):
     assert raw_to_clean(HOURLY, raw, dedupe=True).count() == 2
 
 
+def test_copies_are_merged_before_they_are_shuffled(raw, plan):
+    text = plan(raw_to_clean(HOURLY, raw, dedupe=True), "simple")
+    before_shuffle = text.split("Exchange hashpartitioning")[1]
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Aggregate" in before_shuffle and "partial_first" in before_shuffle
+
+
 def test_malformed_values_become_null_not_errors(spark, tmp_path):
     bad = document(NOON, weather=[])
     bad["current"]["pressure"] = "high"

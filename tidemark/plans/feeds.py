@@ -18,7 +18,8 @@ from pyspark.sql.types import (
 
 SECONDS_PER_DAY = 86400
 
-#: Names that hold for all feeds and both layers.
+# --- Fixed values: names that hold for all feeds and both layers ----------------------------
+
 OBSERVATION = "current"
 OBSERVATION_DT = "dt"
 OBSERVATION_EPOCH = f"{OBSERVATION}.{OBSERVATION_DT}"
@@ -205,6 +206,7 @@ def needed_schema(specs: Iterable[FeedSpec], schema: StructType = RAW_SCHEMA) ->
 
 
 # --- Feeds ----------------------------------------------------------------------------------
+# Prefixes, look-back, renames, drops and leading columns of the four feeds are fixed values.
 
 
 @dataclass(frozen=True)

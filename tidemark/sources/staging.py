@@ -39,11 +39,12 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` written once as Parquet and read back, for as long as the block lasts.
 
     Later jobs prune its columns and push filters into it, and start from files instead of
-    ``df``'s lineage, so a lost executor costs no recomputation beyond its own tasks."""
+    ``df``'s lineage, so a lost executor costs no recomputation beyond its own tasks. The files
+    have no dictionaries, which take longer to build than they save in a few reads."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     try:
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").option("parquet.enable.dictionary", "false").parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         discard(spark, path)

@@ -1,8 +1,8 @@
 """Nested documents derived from the ``events`` table.
 
 Every event is one document, so building them needs no grouping: their arrays have 0 to 6
-elements, or are NULL, by arithmetic on the event. ``EVENTS_CTE`` and ``elements`` state the
-same for SQL, where the arrays lie flat."""
+elements, or are NULL, by arithmetic on the event. :func:`clean_sql` states what comes of them
+in SQL, where nothing is ever nested."""
 
 from __future__ import annotations
 
