@@ -32,6 +32,15 @@ def test_bounds_of_small_integers_are_exact(spark, source):
     assert got == wanted and None in got and 127 in got and -128 in got
 
 
+def test_text_is_read_as_a_number_without_its_fraction(spark):
+    texts = {"12": 12, " -7 ": -7, "\t+3\n": 3, "12.7": 12, "-0.9": 0, "5.": 5, "": None,
+             "1e3": None, "O": None, "1 2": None, ".": None, "-": None, "99999999999": None,
+             "12abc": None, "١": None}
+    df = spark.createDataFrame([(text,) for text in texts], "x STRING")
+    got = {row.t: row.x for row in enforce(df.selectExpr("x AS t", "x"), {"x": "int"}).collect()}
+    assert got == texts
+
+
 def test_numbers_that_do_not_fit_are_found_without_raising(spark, plan):
     df = spark.sql("SELECT id * 1e9D AS x FROM range(10)")
     assert "try_cast" not in plan(enforce(df, {"x": "integer"}))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql.types import DataType, NumericType
+from pyspark.sql.types import DataType, NumericType, StringType
 
 CastMode = Literal["cast", "try_cast"]
 
@@ -14,6 +14,9 @@ _BOUNDS = {
     "smallint": (-(2**15) - 1, 2**15),
     "tinyint": (-(2**7) - 1, 2**7),
 }
+#: Text that reads as a number with or without a fraction, padded or not.
+_SPACE = "[ \t\n\r\f\v]*"
+_WHOLE_OR_DECIMAL = f"^{_SPACE}[+-]?[0-9]+([.][0-9]*)?{_SPACE}$"
 _SPELLINGS = {"integer": "int", "short": "smallint", "byte": "tinyint"}
 
 
@@ -28,14 +31,20 @@ def cast_as(expression: str, to: DataType | str, mode: CastMode = "try_cast",
     """SQL text that casts ``expression``; ``try_cast`` turns what does not fit into NULL,
     ``cast`` follows the session's ANSI setting.
 
-    If ``source``, the type of the expression, is known to be numeric, the range is checked
-    before a cast to a small integer. The result is the same, but ``try_cast`` raises and
-    catches an exception for each value that does not fit, which costs microseconds a row."""
+    Where ``source``, the type of the expression, is known, values are checked before they
+    are cast to a small integer: ``try_cast`` by itself raises and catches an exception for
+    each value that does not fit, which costs microseconds a row. Text loses its fraction as
+    numbers do, ``'12.7'`` becomes 12."""
     name = type_name(to)
     if mode not in ("cast", "try_cast"):
         raise ValueError(f"unknown cast mode {mode!r}")
-    if mode == "try_cast" and name in _BOUNDS and isinstance(source, NumericType):
-        low, high = _BOUNDS[name]
-        fits = f"{expression} > {low} AND {expression} < {high}"
-        return f"CASE WHEN {fits} THEN CAST({expression} AS {name}) END"
+    if mode == "try_cast" and name in _BOUNDS:
+        if isinstance(source, NumericType):
+            low, high = _BOUNDS[name]
+            fits = f"{expression} > {low} AND {expression} < {high}"
+            return f"CASE WHEN {fits} THEN CAST({expression} AS {name}) END"
+        if isinstance(source, StringType):
+            whole = f"substring_index({expression}, '.', 1)"
+            reads = f"{expression} RLIKE '{_WHOLE_OR_DECIMAL}'"
+            return f"CASE WHEN {reads} THEN try_cast({whole} AS {name}) END"
     return f"{mode}({expression} AS {name})"

@@ -103,7 +103,8 @@ for _spec in FEEDS.values():
 @registry.add("json_text_daily", clean_sql("daily"))
 def _json_text_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as JSON text in a column."""
-    text = documents(spark, sf_dir).select(F.to_json(F.struct("*")).alias("text"))
+    columns = F.struct(*DAILY.raw_columns)
+    text = documents(spark, sf_dir).select(F.to_json(columns).alias("text"))
     parsed = parse_raw(text, F.col("text"), needed_schema([DAILY], DOCUMENT_SCHEMA))
     return without_zone(raw_to_clean(DAILY, parsed))
 
