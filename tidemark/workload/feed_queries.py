@@ -140,8 +140,8 @@ def _stored_hops(spec: FeedSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in (_processed(rows), rows):
         path = _json_files(spark, spec, batch)
         raw = read_raw(spark, path, needed_schema([spec], DOCUMENT_SCHEMA))
-        run_raw_to_clean(raw, clean, [spec], history[0])
-        run_clean_to_analytic(spark, clean, analytic, [spec], history[1])
+        run_raw_to_clean(raw, clean, [spec], history[0], compacted=True)
+        run_clean_to_analytic(spark, clean, analytic, [spec], history[1], compacted=True)
         history = (
             {spec.name: read_layer(spark, layer_path(clean, spec))},
             {spec.name: read_layer(spark, layer_path(analytic, spec))},
