@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import tokens, urls
+from tidemark.llm import quality, tokens, urls
 from tidemark.llm.frames import load
+from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
 
 #: Rules on hosts and paths that op1 judges pages by.
@@ -39,3 +40,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return tokens.digests(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = quality.fit(docs, load(spark, sf_dir, "labels"), "quality", fold("doc_id", 5) != 0)
+    return judged(quality.score(docs, model), fold("doc_id", 5) == 0, threshold=0.3)

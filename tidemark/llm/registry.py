@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -24,12 +26,13 @@ def ship(spark: SparkSession) -> None:
     if spark.conf.get(_SHIPPED, "") == context.applicationId:
         return
     root = Path(__file__).resolve().parents[2]
-    with tempfile.TemporaryDirectory() as folder:
-        archive = Path(folder) / "tidemark.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted((root / "tidemark").rglob("*.py")):
-                out.write(file, file.relative_to(root))
-        context.addPyFile(str(archive))
+    folder = tempfile.mkdtemp(prefix="tidemark-code-")  # the driver serves it while it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "tidemark").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    context.addPyFile(str(archive))
     spark.conf.set(_SHIPPED, context.applicationId)
 
 

@@ -60,9 +60,14 @@ class Hashes:
         self.sums = np.zeros(units.size + 1, dtype=np.uint64)
         np.cumsum(units * _Powers.up[: units.size], out=self.sums[1:])
 
+    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the substrings from ``start`` to before ``end``; their high bits are the
+        good ones."""
+        return (self.sums[end] - self.sums[start]) * _Powers.down[start]
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hashes of the substrings from ``start`` to before ``end``."""
-        return mix((self.sums[end] - self.sums[start]) * _Powers.down[start])
+        return mix(self.raw(start, end))
 
     def all_of(self, length: int) -> np.ndarray:
         """Mixed hashes of every substring of ``length`` units."""
