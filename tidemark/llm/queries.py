@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality, tokens, urls
+from tidemark.llm import quality, tokens, toxicity, urls
 from tidemark.llm.frames import load
 from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
@@ -47,3 +47,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = quality.fit(docs, load(spark, sf_dir, "labels"), "quality", fold("doc_id", 5) != 0)
     return judged(quality.score(docs, model), fold("doc_id", 5) == 0, threshold=0.3)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2)
+    return judged(toxicity.score(docs, model), fold("doc_id", 4) == 2, threshold=0.3)
