@@ -54,13 +54,21 @@ for _byte in range(256):
         _FOLDED[_byte] = ord(chr(_byte).lower()) if _byte < 0x80 else _byte
 
 
-def tokens(batch: Batch, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens of some texts, and the number of tokens before each text. A text
-    longer than a chunk is alone in its range and hashed in memory as a whole."""
+#: Lengths in bytes of the stems that count as tokens beside the whole word, so that inflected
+#: and compounded forms share their evidence.
+STEMS = (4, 5, 6, 7, 8)
+
+
+def tokens(batch: Batch, start: int, end: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the words of some texts and of their stems, and the number of words before each
+    text. A word as short as a stem has its own hash there."""
     bounds = batch.bounds[start : end + 1]
     data = _FOLDED[batch.data[bounds[0] : bounds[-1]]]
     starts, ends, before = words(data, bounds - bounds[0])
-    return Hashes(BYTE_VALUES[data]).of(starts, ends), before
+    hashes = Hashes(BYTE_VALUES[data])
+    whole = hashes.of(starts, ends)
+    stems = [np.where(ends - starts > n, hashes.of(starts, np.minimum(starts + n, ends)) ^ np.uint64(n), whole) for n in STEMS]
+    return [whole, *stems], before
 
 
 def _presence(texts: DataFrame) -> DataFrame:
@@ -73,7 +81,7 @@ def _presence(texts: DataFrame) -> DataFrame:
             for start, end in batch.chunks():
                 found, before = tokens(batch, start, end)
                 for i in range(end - start):
-                    own = np.unique(found[before[i] : before[i + 1]])
+                    own = np.unique(np.concatenate([kind[before[i] : before[i + 1]] for kind in found]))
                     keys.append(own)
                     counts.append(np.full(own.size, labels[start + i]))
             every, toxic = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(counts or [np.zeros(0, bool)])
@@ -126,17 +134,24 @@ def segments(places: list[int], odds: list[float], drift: float) -> list[tuple[i
 
 
 def _evidence(batch: Batch, model: Model, drift: float) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
-    """Number of tokens and the segments of each text."""
+    """Number of words and the segments of each text. A word scores as its surest token."""
+    known = np.zeros(1 << 16, dtype=bool)
+    known[(model.keys >> np.uint64(48)).astype(np.int64)] = True
     for start, end in batch.chunks():
         found, before = tokens(batch, start, end)
-        at = np.searchsorted(model.keys, found)
-        at[at == model.keys.size] = 0
-        hits = np.flatnonzero(model.keys[at] == found) if model.keys.size else np.zeros(0, np.int64)
+        odds = np.zeros(found[0].size)
+        for kind in found:
+            likely = np.flatnonzero(known[(kind >> np.uint64(48)).astype(np.int64)])
+            at = np.searchsorted(model.keys, kind[likely])
+            at[at == model.keys.size] = 0
+            same = model.keys[at] == kind[likely] if model.keys.size else np.zeros(0, bool)
+            odds[likely[same]] = np.maximum(odds[likely[same]], model.odds[at[same]])
+        hits = np.flatnonzero(odds)
         cuts = np.searchsorted(hits, before)
         for i in range(end - start):
             own = hits[cuts[i] : cuts[i + 1]]
             count = int(before[i + 1] - before[i])
-            yield count, segments((own - before[i]).tolist(), model.odds[at[own]].tolist(), drift) if own.size else []
+            yield count, segments((own - before[i]).tolist(), odds[own].tolist(), drift) if own.size else []
 
 
 def _log_expected(count: int, highest: float, model: Model) -> float:
@@ -203,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
         return Model(keys, odds, 1.0, 1.0, 0.0, math.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     clean = [row for row in seen if row["label"] == 0]
     length = max(sum(row["count"] for row in clean), 1)
-    decay = _decay(np.array([row["clean"] for row in rows]) / length, odds, settings.drift)
+    decay = _decay(np.array([row["clean"] for row in rows]) / length / (1 + len(STEMS)), odds, settings.drift)
     # The scale by moments: as many chance segments as clean texts with any at all.
     scale = max(sum(math.exp(min(decay * row["highest"], 50)) > 1 for row in clean), 1) / length
     model = Model(keys, odds, decay, scale, 0.0, 0.0)
