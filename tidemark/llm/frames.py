@@ -34,17 +34,17 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
-def kept(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the folder all executors share, and read back.
 
     Cuts the lineage: a lost executor costs its own tasks, not what led up to here. The
     shuffle files behind it go when it is written. The folder lies below
     ``spark.checkpoint.dir`` and lasts as long as the frames that read it may."""
     spark = df.sparkSession
-    path = staging_path(spark, name)
+    path = path or staging_path(spark, name)
     writer = df.write.mode("errorifexists").option("compression", "none" if "data" in df.columns else "zstd")
     with _shuffles_removed(spark):
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

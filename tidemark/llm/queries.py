@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import quality, tokens, toxicity, urls
+from tidemark.llm import neighbours, packing, quality, streams, tokens, toxicity, urls
 from tidemark.llm.frames import load
 from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
@@ -54,3 +55,26 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2)
     return judged(toxicity.score(docs, model), fold("doc_id", 4) == 2, threshold=0.3)
+
+
+@query("op6_nearest_neighbours")
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
+@query("op4_exact_dedup", sql=r"""
+    WITH d AS (
+        SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents
+    )
+    SELECT doc_id, first(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size,
+           doc_id = first(doc_id) OVER g AS kept, sha256(bare) AS text_sha256
+    FROM d WINDOW g AS (PARTITION BY bare ORDER BY n DESC, doc_id)
+""")
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.deduplicate(load(spark, sf_dir, "documents"))
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(load(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, capacity=2048)
