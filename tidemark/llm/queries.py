@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neighbours, packing, quality, streams, tokens, toxicity, urls
+from tidemark.llm import neighbours, packing, quality, streams, suffixes, tokens, toxicity, urls
 from tidemark.llm.frames import load
 from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
@@ -78,3 +78,8 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(load(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, capacity=2048)
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(load(spark, sf_dir, "documents"))
