@@ -13,7 +13,10 @@ Equality of runs is by 128 bits of hashes. What is left to compare is small, as
 passages are classes up to their ends.
 
 Every batch first finds classes of its own, so that a passage all documents share leaves a batch
-once. Rows between the steps are ``kind, bucket, weight, data``: packed arrays for a bucket."""
+once. A mark that many different runs of a batch have, such as that of a line known to
+everyone, is hot: the runs are asked for at once, and only two of them travel, to tell those of
+other batches. What hot marks ask for is told apart by content later. So no bucket gets more
+than a few rows a batch for one mark. Rows between the steps are ``kind, bucket, weight, data``: packed arrays for a bucket."""
 
 from __future__ import annotations
 
@@ -36,10 +39,13 @@ RUNS, COVERED, ASKED, WINDOWS, TEXTS = range(5)
 
 #: Arrays of each kind. ``tag`` is a checksum of the text, which tells rows of one id apart.
 COLUMNS = {
-    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1"),  # mark, content, doc_id, tag, first, windows
+    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1"),  # mark, content, doc_id, tag, first, windows and HOT
     COVERED: ("i8", "u4", "u4", "u4"),  # doc_id, tag, first window, last window
-    ASKED: ("i8", "u4", "u4", "u1", "u8"),  # doc_id, tag, first, windows, mark
+    ASKED: ("i8", "u4", "u4", "u1", "u8", "u1"),  # doc_id, tag, first, windows, mark, hot
 }
+#: Added to the number of windows in two runs that stand for many of a mark in a batch, and the
+#: number of classes of a mark, in a batch and in all, from which it is hot.
+HOT, MANY, MANY_IN_ALL = 0x80, 32, 1000
 _ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("weight", pa.int64()), ("data", pa.binary())])
 
 
@@ -63,6 +69,10 @@ def rows_of(kind: int, where: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple
         yield kind, int(where[own[0]]), int(own.size), pack(*(array[own] for array in arrays))
 
 
+def passed_on(rows: pa.Table, kind: int) -> list[tuple]:
+    return [row for row in zip(*(rows[field.name].to_pylist() for field in _ARROW), strict=True) if row[0] == kind]
+
+
 def table_of(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
     return pa.table([pa.array(column, field.type) for column, field in zip(columns, _ARROW, strict=True)], schema=_ARROW)
@@ -166,11 +176,27 @@ def _scan(units: Units, width: int, gram: int, buckets: int, doc_buckets: int):
             mark, content, text, first, sizes = batch_runs(batch, units, width, gram)
             order, head, _ = _classes(mark, content, ids[text])
             copies = order[ids[text[order]] != ids[text[order[head]]]]
+            hot, sizes_out = [np.zeros(0, np.int64)], sizes.astype(np.uint8)
             out = list(covered_rows(ids[text[copies]], tags[text[copies]], first[copies], first[copies] + sizes[copies] - 1, doc_buckets))
             stay = np.ones(mark.size, dtype=bool)
             stay[copies] = False
-            mark, content, text, first, sizes = (a[stay] for a in (mark, content, text, first, sizes))
-            out += rows_of(RUNS, bucket_of(mark, buckets), mark, content, ids[text], tags[text], first.astype(np.uint32), sizes.astype(np.uint8))
+            own = order[stay[order]]
+            starts = np.flatnonzero(np.r_[True, mark[own[1:]] != mark[own[:-1]]]) if own.size else own
+            ends = np.r_[starts[1:], own.size]
+            for a, b in zip(starts[ends - starts > MANY], ends[ends - starts > MANY], strict=True):
+                runs = own[a:b]
+                least, most = runs[np.argmin(ids[text[runs]])], runs[np.argmax(ids[text[runs]])]
+                if ids[text[least]] == ids[text[most]]:
+                    continue
+                hot.append(runs)
+                stay[runs] = False
+                stay[[least, most]] = True
+                sizes_out[[least, most]] |= HOT
+            asked = np.concatenate(hot)
+            out += rows_of(ASKED, doc_bucket(ids[text[asked]], doc_buckets), ids[text[asked]], tags[text[asked]], first[asked].astype(np.uint32),
+                           sizes[asked].astype(np.uint8), mark[asked], np.ones(asked.size, np.uint8))
+            mark, content, text, first, sizes = (a[stay] for a in (mark, content, text, first, sizes_out))
+            out += rows_of(RUNS, bucket_of(mark, buckets), mark, content, ids[text], tags[text], first.astype(np.uint32), sizes)
             yield from table_of(out).to_batches()
 
     return run
@@ -182,7 +208,8 @@ def _meet(doc_buckets: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() != RUNS:
             return table
-        mark, content, ids, tags, first, sizes = unpack_all(table["data"].to_pylist(), COLUMNS[RUNS])
+        mark, content, ids, tags, first, flagged = unpack_all(table["data"].to_pylist(), COLUMNS[RUNS])
+        sizes = flagged & (HOT - 1)
         order, head, group = _classes(mark, content, ids)
         own = ids[order]
         copy = own != own[head]
@@ -193,10 +220,11 @@ def _meet(doc_buckets: int):
         if starts.size:
             low, high = np.minimum.reduceat(own, starts), np.maximum.reduceat(own, starts)
             ends = np.r_[starts[1:], own.size]
-            several = np.add.reduceat((head == np.arange(head.size)).astype(np.int64), starts) > 1
-            wanted = np.repeat(several & (low != high), ends - starts) & ~copy
-            asked = order[wanted]
-            out += rows_of(ASKED, doc_bucket(ids[asked], doc_buckets), ids[asked], tags[asked], first[asked], sizes[asked], mark[asked])
+            classes = np.add.reduceat((head == np.arange(head.size)).astype(np.int64), starts)
+            hot = (classes > MANY_IN_ALL) | np.logical_or.reduceat(flagged[order] >= HOT, starts)
+            wanted = np.repeat((classes > 1) & (low != high), ends - starts) & ~copy
+            asked, hot = order[wanted], np.repeat(hot, ends - starts)[wanted]
+            out += rows_of(ASKED, doc_bucket(ids[asked], doc_buckets), ids[asked], tags[asked], first[asked], sizes[asked], mark[asked], hot.astype(np.uint8))
         return table_of(out)
 
     return run

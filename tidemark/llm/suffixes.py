@@ -14,7 +14,8 @@ from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, St
 
 from tidemark.llm.frames import cut, parts, text_bytes
 from tidemark.llm.runs import (ASKED, COVERED, SCHEMA, WINDOWS, Texts, by_text, byte_units,
-                               covered_rows, find_runs, grouped, table_of, with_texts)
+                               covered_rows, find_runs, grouped, passed_on, table_of,
+                                with_texts)
 from tidemark.llm.texts import pack, unpack
 
 #: Bytes of a string that counts, of the grams that mark windows, and of a token of a suffix.
@@ -56,8 +57,7 @@ def sort_suffixes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         own = np.lexsort((key, stretch))
         order[where] = order[where][own]
         key = key[own]
-        differs = np.r_[True, (key[1:] != key[:-1])]
-        new[where] |= differs & ~np.r_[True, stretch[1:] != stretch[:-1]] | new[where]
+        new[where] |= np.r_[True, key[1:] != key[:-1]]
     return order, new
 
 
@@ -83,14 +83,13 @@ def _splitters(docs: DataFrame, rows: int, buckets: int) -> list[bytes]:
 
 def _suffix_rows(texts: Texts, rows: pa.Table, splitters: list[bytes], doc_buckets: int) -> pa.Table:
     """Suffixes of the runs that are asked for, sorted and cut at the splitters."""
-    out: list[tuple] = [(k, b, w, d) for k, b, w, d in zip(*(rows[c].to_pylist() for c in ("kind", "bucket", "weight", "data")), strict=True) if k == COVERED]
-    asked = [d for k, d in zip(rows["kind"].to_pylist(), rows["data"].to_pylist(), strict=True) if k == ASKED]
-    named = list(by_text(asked, ASKED))
+    out = passed_on(rows, COVERED)
+    named = list(by_text([row[3] for row in passed_on(rows, ASKED)], ASKED))
     if not named:
         return table_of(out)
     found = texts.rows_of(np.array([n[0] for n, _ in named]), np.array([n[1] for n, _ in named]))
     where, ids, tags, first = [], [], [], []
-    for name, (_, _, begin, sizes, _) in named:
+    for name, (_, _, begin, sizes, *_) in named:
         for row in found.get(name, [])[:1]:  # rows of one name have one text
             begin, sizes = begin.astype(np.int64), sizes.astype(np.int64)
             own = np.unique(np.repeat(begin, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
