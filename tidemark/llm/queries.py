@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neighbours, packing, phrases, quality, streams, suffixes, tokens, toxicity, urls
+from tidemark.llm import neardup, neighbours, packing, phrases, quality, streams, suffixes, tokens, toxicity, urls
 from tidemark.llm.frames import load
 from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
@@ -88,3 +88,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_phrase_automata")
 def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.remove_passages(load(spark, sf_dir, "documents"))
+
+
+@query("op9_minhash_neardup")
+def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(load(spark, sf_dir, "documents"))
