@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.llm.frames import cut, parts, text_bytes
 from tidemark.llm.runs import (ASKED, COVERED, SCHEMA, WINDOWS, Texts, by_text, byte_units,
@@ -170,11 +170,11 @@ def _left(texts: Texts, rows: pa.Table, with_text: bool, names: list[str]) -> pa
             spans.append(0)
         digests.append(hashlib.sha256(memoryview(body)).hexdigest())
         if with_text:
-            bodies.append(body.tobytes())
+            bodies.append(body.tobytes().decode("utf-8", "ignore"))
     ids = pa.array(texts.ids, mask=~texts.known)
     columns = [ids, pa.array(np.diff(texts.bounds)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
     if with_text:
-        columns += [pa.array([zlib.crc32(texts.bytes_of(i)) for i in range(texts.ids.size)], pa.int64()), pa.array(bodies, pa.binary())]
+        columns += [pa.array([zlib.crc32(texts.bytes_of(i)) for i in range(texts.ids.size)], pa.int64()), pa.array(bodies, pa.string())]
     return pa.table(columns, names=names)
 
 
@@ -183,7 +183,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     document of a smaller id. Texts are taken whole, as UTF-8 bytes, and judged as they came.
 
     Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` a row for a row, and with
-    ``with_text`` also ``crc`` of the original and the bytes left, ``body``. NULL and empty texts
+    ``with_text`` also ``crc`` of the original and the text left, ``body``, without characters
+    that were cut in two. NULL and empty texts
     have no bytes; rows with a NULL id take no part and lose nothing; rows of one id are one
     document, which loses nothing to itself.
 
@@ -202,6 +203,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     covered = grouped(dealt, _sort_bucket(buckets), "suffixes")
     fields = [StructField("doc_id", LongType()), *(StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")), StructField("kept_sha256", StringType())]
     if with_text:
-        fields += [StructField("crc", LongType()), StructField("body", BinaryType())]
+        fields += [StructField("crc", LongType()), StructField("body", StringType())]
     names = [field.name for field in fields]
     return with_texts(docs, covered, buckets, lambda texts, own: _left(texts, own, with_text, names), StructType(fields))

@@ -229,24 +229,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, the ``score`` from 0 to 1 of each whole text, and its significant passages:
-    ``segments`` of first token, last token and score. A row for a row, in one pass without a
-    shuffle; NULL and empty texts have no passage; ids may be NULL or repeated."""
+    ``segments`` of first word, word after the last, and score. A row for a row, in one pass
+    without a shuffle; NULL and empty texts have no passage; ids may be NULL or repeated."""
+    return _scored(cut(docs, doc_id="doc_id", text="text"), model, settings, ["doc_id", "score", "segments"])
+
+
+def accept(docs: DataFrame, model: Model, threshold: float, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``threshold``."""
+    hidden = "score of toxicity"
+    while hidden in docs.columns:
+        hidden += "'"
+    scored = _scored(docs, model, settings, [*docs.columns, hidden])
+    return scored.where(F.col(f"`{hidden}`") < threshold).drop(hidden)
+
+
+def _scored(docs: DataFrame, model: Model, settings: Settings, names: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    place, with_passages = docs.columns.index("text"), names[-1] == "segments"
+    passage = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("score", DoubleType())])
+    fields = [field for field in docs.schema.fields if field.name in names]
+    carried = [docs.columns.index(field.name) for field in fields]
+    more = [StructField(names[len(fields)], DoubleType()), StructField("segments", ArrayType(passage))][: 1 + with_passages]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for rows in batches:
             scores, passages = [], []
-            for count, own in _evidence(Batch(rows.column(1)), model, settings.drift):
+            for count, own in _evidence(Batch(rows.column(place)), model, settings.drift):
                 x = _log_expected(count, max((s for _, _, s in own), default=0.0), model)
                 scores.append(1 / (1 + math.exp(-max(min(model.slope * x + model.shift, 700), -700))))
                 passages.append([
                     {"start": a, "end": b, "score": s} for a, b, s in own
                     if _log_expected(count, s, model) <= math.log(settings.expected)
                 ])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "segments"])
+            columns = [rows.column(i) for i in carried] + [pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(passages, kind)] * with_passages, names)
 
-    passage = StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("score", DoubleType())])
-    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), StructField("score", DoubleType()), StructField("segments", ArrayType(passage))])
-    return cut(docs, doc_id="doc_id", text="text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, StructType([*fields, *more]))
