@@ -7,7 +7,8 @@ windows. The runs of one mark meet in one bucket, where
 
 * equal runs make a class, and all but those of its smallest document are covered;
 * marks with one class are done; where there are several, windows may recur in part of a run,
-  and the classes' representatives are asked for, to be compared by their contents.
+  if what lies on one side of the marking gram agrees. The classes' representatives are asked
+  for then, to be compared by their contents.
 
 Equality of runs is by 128 bits of hashes. What is left to compare is small, as copies and
 passages are classes up to their ends.
@@ -39,7 +40,7 @@ RUNS, COVERED, ASKED, WINDOWS, TEXTS = range(5)
 
 #: Arrays of each kind. ``tag`` is a checksum of the text, which tells rows of one id apart.
 COLUMNS = {
-    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1"),  # mark, content, doc_id, tag, first, windows and HOT
+    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1", "u1", "u1"),  # mark, content, doc_id, tag, first, windows and HOT, sides
     COVERED: ("i8", "u4", "u4", "u4"),  # doc_id, tag, first window, last window
     ASKED: ("i8", "u4", "u4", "u1", "u8", "u1"),  # doc_id, tag, first, windows, mark, hot
 }
@@ -99,9 +100,10 @@ def _cut_runs(units: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> t
     """Mark, content, first window and number of windows of the runs of pieces of units."""
     count = units.size - width + 1
     if count <= 0:
-        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return _NO_RUNS
     hashes = Hashes(units)
-    marks = sliding_min(hashes.all_of(gram), width - gram + 1)
+    grams = hashes.all_of(gram)
+    marks = sliding_min(grams, width - gram + 1)
     # Windows that reach over the end of a piece are none.
     edge = np.zeros(units.size + 1, dtype=np.int32)
     inner = bounds[1:][bounds[1:] > bounds[:-1]]
@@ -112,7 +114,7 @@ def _cut_runs(units: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> t
     new[1:] &= (marks[1:] != marks[:-1]) | ~valid[:-1]
     first = np.flatnonzero(new)
     if not first.size:
-        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return _NO_RUNS
     after = np.cumsum(valid)
     sizes = np.diff(np.r_[after[first] - 1, after[-1]])
     # Long runs, of repetitions, are cut, so that first and last window make up a run.
@@ -122,7 +124,28 @@ def _cut_runs(units: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> t
     sizes = np.minimum(np.repeat(sizes, times) - place * width, width)
     last = first + sizes - 1
     content = mix(hashes.of(first, first + width) * np.uint64(3) + hashes.of(last, last + width) * np.uint64(5) + sizes.astype(np.uint64))
-    return mix(marks[first]), content, first, sizes
+    return mix(marks[first]), content, first, sizes, *_sides(hashes, grams, marks[first], first, last, width, gram)
+
+
+def _sides(hashes: Hashes, grams: np.ndarray, marks: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """A byte of hash of what is left and right of the gram that marks each run. A window that two
+    runs of one mark have in common reaches at least half of what the gram leaves of it to one
+    side, and there they agree. Where a text ends before that, the byte is of the place."""
+    place = np.where(grams[last] == marks, last, np.minimum(first + width - gram, grams.size - 1))
+    lost = np.flatnonzero(grams[place] != marks)
+    for step in range(1, width - gram):
+        if not lost.size:
+            break
+        at = np.minimum(last[lost] + step, grams.size - 1)
+        hit = grams[at] == marks[lost]
+        place[lost[hit]] = at[hit]
+        lost = lost[~hit]
+    reach, total = (width - gram) // 2, hashes.sums.size - 1
+    left, right = np.maximum(place - reach, 0), np.minimum(place + gram + reach, total)
+    return tuple((hashes.of(a, b) >> np.uint64(56)).astype(np.uint8) for a, b in ((left, place), (place + gram, right)))
+
+
+_NO_RUNS = tuple(np.zeros(0, kind) for kind in ("u8", "u8", "i8", "i8", "u1", "u1"))
 
 
 def byte_units(batch: Batch, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,17 +162,17 @@ Units = Callable[[Batch, int, int], tuple[np.ndarray, np.ndarray]]
 
 
 def batch_runs(batch: Batch, units: Units, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of all texts of a batch: mark, content, text, first window, windows."""
-    found: list[list[np.ndarray]] = [[np.zeros(0, kind)] for kind in ("u8", "u8", "i8", "i8", "i8")]
+    """Runs of all texts of a batch: mark, content, text, first window, windows, sides."""
+    found: list[list[np.ndarray]] = [[np.zeros(0, kind)] for kind in ("u8", "u8", "i8", "i8", "i8", "u1", "u1")]
     for start, end in batch.chunks():
         values, bounds = units(batch, start, end)
         # A text longer than a chunk goes in pieces that overlap by less than a window.
         for low in range(0, max(values.size - width + 1, 1), CHUNK) if end - start == 1 else (0,):
             high = min(low + CHUNK + width - 1, values.size) if end - start == 1 else values.size
             own = np.array([0, high - low]) if end - start == 1 else bounds
-            mark, content, first, sizes = _cut_runs(values[low:high], own, width, gram)
+            mark, content, first, sizes, *sides = _cut_runs(values[low:high], own, width, gram)
             text = np.searchsorted(own, first, side="right") - 1
-            for column, part in zip(found, (mark, content, text + start, first + low - (own[text] if end - start > 1 else 0), sizes), strict=True):
+            for column, part in zip(found, (mark, content, text + start, first + low - (own[text] if end - start > 1 else 0), sizes, *sides), strict=True):
                 column.append(part)
     return tuple(np.concatenate(column) for column in found)
 
@@ -169,11 +192,11 @@ def _classes(mark: np.ndarray, content: np.ndarray, doc_ids: np.ndarray) -> tupl
 
 def _scan(units: Units, width: int, gram: int, buckets: int, doc_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches):
             batch = Batch(rows.column(1))
             ids = np.asarray(rows.column(0).fill_null(0)).astype(np.int64)
             tags = np.array([zlib.crc32(batch.bytes_of(i)) for i in range(len(batch))], dtype=np.uint32)
-            mark, content, text, first, sizes = batch_runs(batch, units, width, gram)
+            mark, content, text, first, sizes, left, right = batch_runs(batch, units, width, gram)
             order, head, _ = _classes(mark, content, ids[text])
             copies = order[ids[text[order]] != ids[text[order[head]]]]
             hot, sizes_out = [np.zeros(0, np.int64)], sizes.astype(np.uint8)
@@ -195,8 +218,8 @@ def _scan(units: Units, width: int, gram: int, buckets: int, doc_buckets: int):
             asked = np.concatenate(hot)
             out += rows_of(ASKED, doc_bucket(ids[text[asked]], doc_buckets), ids[text[asked]], tags[text[asked]], first[asked].astype(np.uint32),
                            sizes[asked].astype(np.uint8), mark[asked], np.ones(asked.size, np.uint8))
-            mark, content, text, first, sizes = (a[stay] for a in (mark, content, text, first, sizes_out))
-            out += rows_of(RUNS, bucket_of(mark, buckets), mark, content, ids[text], tags[text], first.astype(np.uint32), sizes)
+            mark, content, text, first, sizes, left, right = (a[stay] for a in (mark, content, text, first, sizes_out, left, right))
+            out += rows_of(RUNS, bucket_of(mark, buckets), mark, content, ids[text], tags[text], first.astype(np.uint32), sizes, left, right)
             yield from table_of(out).to_batches()
 
     return run
@@ -208,7 +231,7 @@ def _meet(doc_buckets: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() != RUNS:
             return table
-        mark, content, ids, tags, first, flagged = unpack_all(table["data"].to_pylist(), COLUMNS[RUNS])
+        mark, content, ids, tags, first, flagged, left, right = unpack_all(table["data"].to_pylist(), COLUMNS[RUNS])
         sizes = flagged & (HOT - 1)
         order, head, group = _classes(mark, content, ids)
         own = ids[order]
@@ -222,14 +245,35 @@ def _meet(doc_buckets: int):
             ends = np.r_[starts[1:], own.size]
             classes = np.add.reduceat((head == np.arange(head.size)).astype(np.int64), starts)
             hot = (classes > MANY_IN_ALL) | np.logical_or.reduceat(flagged[order] >= HOT, starts)
+            hot = np.repeat(hot, ends - starts)
             wanted = np.repeat((classes > 1) & (low != high), ends - starts) & ~copy
-            asked, hot = order[wanted], np.repeat(hot, ends - starts)[wanted]
+            wanted &= hot | _shared(group, left[order], own, wanted) | _shared(group, right[order], own, wanted)
+            asked, hot = order[wanted], hot[wanted]
             out += rows_of(ASKED, doc_bucket(ids[asked], doc_buckets), ids[asked], tags[asked], first[asked], sizes[asked], mark[asked], hot.astype(np.uint8))
         return table_of(out)
 
     return run
 
 
+def _shared(group: np.ndarray, side: np.ndarray, ids: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which of the rows ``among`` have the mark and this side in common with another document."""
+    rows, out = np.flatnonzero(among), np.zeros(group.size, dtype=bool)
+    rows = rows[np.lexsort((side[rows], group[rows]))]
+    new = np.r_[True, (group[rows[1:]] != group[rows[:-1]]) | (side[rows[1:]] != side[rows[:-1]])][: rows.size]
+    starts = np.flatnonzero(new)
+    if starts.size:
+        low, high = np.minimum.reduceat(ids[rows], starts), np.maximum.reduceat(ids[rows], starts)
+        out[rows] = np.repeat(low != high, np.diff(np.r_[starts, rows.size]))
+    return out
+
+
+def sliced(batches: Iterator[pa.RecordBatch], size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about ``size`` bytes of text, their second column."""
+    for rows in batches:
+        for start, end in Batch(rows.column(1)).chunks(size):
+            yield rows.slice(start, end - start)
+
+
 def grouped(df: DataFrame, function, name: str) -> DataFrame:
     """``function`` on all rows of a kind and bucket, written."""
     return kept(df.groupBy("kind", "bucket").applyInArrow(function, SCHEMA), name)
@@ -247,7 +291,7 @@ def packed_texts(docs: DataFrame, doc_buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        for rows in batches:
+        for rows in sliced(batches):
             batch, out = Batch(rows.column(1)), []
             ids = np.asarray(rows.column(0).fill_null(0)).astype(np.int64)
             known = np.asarray(rows.column(0).is_valid())

@@ -21,7 +21,7 @@ from tidemark.llm.texts import pack, unpack
 #: Bytes of a string that counts, of the grams that mark windows, and of a token of a suffix.
 WIDTH, GRAM, TOKEN = 50, 20, 8
 #: Bytes of text for a bucket, and suffixes for a bucket.
-BUCKET_BYTES, BUCKET_SUFFIXES = 24 << 20, 1 << 20
+BUCKET_BYTES, BUCKET_SUFFIXES = 16 << 20, 1 << 19
 #: Documents that splitters are sampled from, and suffixes of each. They balance the buckets and
 #: have no influence on results.
 SAMPLED, EACH = 4000, 8
@@ -101,7 +101,7 @@ def _suffix_rows(texts: Texts, rows: pa.Table, splitters: list[bytes], doc_bucke
         return table_of(out)
     where, ids, tags, first = (np.concatenate(x) for x in (where, ids, tags, first))
     view = np.lib.stride_tricks.sliding_window_view(texts.data, WIDTH)
-    step = 1 << 19
+    step = 1 << 18
     for low in range(0, where.size, step):
         part = slice(low, low + step)
         suffixes = view[where[part]]
