@@ -40,13 +40,14 @@ RUNS, COVERED, ASKED, WINDOWS, TEXTS = range(5)
 
 #: Arrays of each kind. ``tag`` is a checksum of the text, which tells rows of one id apart.
 COLUMNS = {
-    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1", "u1", "u1"),  # mark, content, doc_id, tag, first, windows and HOT, sides
+    RUNS: ("u8", "u8", "i8", "u4", "u4", "u1", "u1", "u1"),  # mark, content, doc_id, tag, first, windows and flags, sides
     COVERED: ("i8", "u4", "u4", "u4"),  # doc_id, tag, first window, last window
     ASKED: ("i8", "u4", "u4", "u1", "u8", "u1"),  # doc_id, tag, first, windows, mark, hot
 }
-#: Added to the number of windows in two runs that stand for many of a mark in a batch, and the
-#: number of classes of a mark, in a batch and in all, from which it is hot.
-HOT, MANY, MANY_IN_ALL = 0x80, 32, 1000
+#: Added to the number of windows: in two runs that stand for many of a mark in a batch, and in
+#: those whose sides say nothing. The number of classes of a mark, in a batch and in all, from
+#: which it is hot.
+HOT, ANY, MANY, MANY_IN_ALL = 0x80, 0x40, 32, 1000
 _ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("weight", pa.int64()), ("data", pa.binary())])
 
 
@@ -124,25 +125,37 @@ def _cut_runs(units: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> t
     sizes = np.minimum(np.repeat(sizes, times) - place * width, width)
     last = first + sizes - 1
     content = mix(hashes.of(first, first + width) * np.uint64(3) + hashes.of(last, last + width) * np.uint64(5) + sizes.astype(np.uint64))
-    return mix(marks[first]), content, first, sizes, *_sides(hashes, grams, marks[first], first, last, width, gram)
-
-
-def _sides(hashes: Hashes, grams: np.ndarray, marks: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """A byte of hash of what is left and right of the gram that marks each run. A window that two
-    runs of one mark have in common reaches at least half of what the gram leaves of it to one
-    side, and there they agree. Where a text ends before that, the byte is of the place."""
-    place = np.where(grams[last] == marks, last, np.minimum(first + width - gram, grams.size - 1))
-    lost = np.flatnonzero(grams[place] != marks)
-    for step in range(1, width - gram):
-        if not lost.size:
-            break
-        at = np.minimum(last[lost] + step, grams.size - 1)
-        hit = grams[at] == marks[lost]
-        place[lost[hit]] = at[hit]
-        lost = lost[~hit]
+    left, right, several = _sides(hashes, grams, marks, first, last, width, gram)
+    return mix(marks[first]), content, first, sizes | several, left, right
+
+
+def _sides(hashes: Hashes, grams: np.ndarray, marks: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
+    """A byte of hash of what is left and right of the gram that marks each run, and ``ANY`` for
+    runs that hold their mark more than once. A window that two runs of one mark have in common
+    reaches at least half of what the gram leaves of it to one side, and there they agree. Where
+    a text ends before that, the byte is of the place; with several grams it says nothing."""
+    span = width - gram + 1
+    # A gram is a mark of some window if it is the greatest of the marks around it.
+    around = np.zeros(grams.size + span - 1, dtype=np.uint64)
+    around[span - 1 : span - 1 + marks.size] = marks
+    chosen = grams == ~sliding_min(~around, span)
+    before = np.zeros(grams.size + 1, dtype=np.int64)
+    np.cumsum(chosen, out=before[1:])
+    places = np.flatnonzero(chosen)
+    at, end = before[first], before[np.minimum(last + span, grams.size)]
+    place, found = np.zeros(first.size, dtype=np.int64), np.zeros(first.size, dtype=np.int64)
+    rows = np.flatnonzero(at < end)
+    while rows.size:
+        own = places[at[rows]]
+        hit = rows[grams[own] == marks[first[rows]]]
+        place[hit] = places[at[hit]]
+        found[hit] += 1
+        at[rows] += 1
+        rows = rows[at[rows] < end[rows]]
     reach, total = (width - gram) // 2, hashes.sums.size - 1
     left, right = np.maximum(place - reach, 0), np.minimum(place + gram + reach, total)
-    return tuple((hashes.of(a, b) >> np.uint64(56)).astype(np.uint8) for a, b in ((left, place), (place + gram, right)))
+    sides = [(hashes.of(a, b) >> np.uint64(56)).astype(np.uint8) for a, b in ((left, place), (place + gram, right))]
+    return *sides, np.where(found == 1, 0, ANY)
 
 
 _NO_RUNS = tuple(np.zeros(0, kind) for kind in ("u8", "u8", "i8", "i8", "u1", "u1"))
@@ -196,10 +209,11 @@ def _scan(units: Units, width: int, gram: int, buckets: int, doc_buckets: int):
             batch = Batch(rows.column(1))
             ids = np.asarray(rows.column(0).fill_null(0)).astype(np.int64)
             tags = np.array([zlib.crc32(batch.bytes_of(i)) for i in range(len(batch))], dtype=np.uint32)
-            mark, content, text, first, sizes, left, right = batch_runs(batch, units, width, gram)
+            mark, content, text, first, flagged, left, right = batch_runs(batch, units, width, gram)
+            sizes = flagged & (ANY - 1)
             order, head, _ = _classes(mark, content, ids[text])
             copies = order[ids[text[order]] != ids[text[order[head]]]]
-            hot, sizes_out = [np.zeros(0, np.int64)], sizes.astype(np.uint8)
+            hot, sizes_out = [np.zeros(0, np.int64)], flagged.astype(np.uint8)
             out = list(covered_rows(ids[text[copies]], tags[text[copies]], first[copies], first[copies] + sizes[copies] - 1, doc_buckets))
             stay = np.ones(mark.size, dtype=bool)
             stay[copies] = False
@@ -232,7 +246,7 @@ def _meet(doc_buckets: int):
         if key[0].as_py() != RUNS:
             return table
         mark, content, ids, tags, first, flagged, left, right = unpack_all(table["data"].to_pylist(), COLUMNS[RUNS])
-        sizes = flagged & (HOT - 1)
+        sizes = flagged & (ANY - 1)
         order, head, group = _classes(mark, content, ids)
         own = ids[order]
         copy = own != own[head]
@@ -245,9 +259,10 @@ def _meet(doc_buckets: int):
             ends = np.r_[starts[1:], own.size]
             classes = np.add.reduceat((head == np.arange(head.size)).astype(np.int64), starts)
             hot = (classes > MANY_IN_ALL) | np.logical_or.reduceat(flagged[order] >= HOT, starts)
+            any_side = np.repeat(hot | np.logical_or.reduceat((flagged[order] & ANY) > 0, starts), ends - starts)
             hot = np.repeat(hot, ends - starts)
             wanted = np.repeat((classes > 1) & (low != high), ends - starts) & ~copy
-            wanted &= hot | _shared(group, left[order], own, wanted) | _shared(group, right[order], own, wanted)
+            wanted &= any_side | _shared(group, left[order], own, wanted) | _shared(group, right[order], own, wanted)
             asked, hot = order[wanted], hot[wanted]
             out += rows_of(ASKED, doc_bucket(ids[asked], doc_buckets), ids[asked], tags[asked], first[asked], sizes[asked], mark[asked], hot.astype(np.uint8))
         return table_of(out)
