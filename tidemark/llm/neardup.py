@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.frames import cut, kept, parts
-from tidemark.llm.texts import Batch, Hashes, mix, word_values, words
+from tidemark.llm.texts import Batch, Hashes, mix, sliced, word_values, words
 
 #: Words of a shingle; registers of a signature, and of a band.
 WORDS, REGISTERS, ROWS = 5, 128, 4
@@ -22,7 +22,7 @@ PART = 75
 #: errors below the least link.
 LIKELY = 0.6
 #: Members of a bucket, and shingles of a family, that are compared in one piece.
-MEMBERS, SHINGLES = 1024, 1 << 21
+MEMBERS, SHINGLES = 512, 1 << 20
 
 #: A-Z in lower case.
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -101,7 +101,7 @@ def _described(docs: DataFrame) -> DataFrame:
     in a batch its bands' hashes and a byte of every register."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches):
             batch = Batch(rows.column(1))
             digests, counts, own, first = [], [], {}, []
             for i, shingles in enumerate(shingle_sets(batch)):
@@ -222,7 +222,7 @@ def _shingles(docs: DataFrame) -> DataFrame:
     """The shingles of those rows whose set is the one that is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches):
             wanted, keep, bodies = rows.column(2).to_pylist(), [], []
             for i, shingles in enumerate(shingle_sets(Batch(rows.column(1)))):
                 body = shingles.tobytes()
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # A document may have several sets under one id; its rows are one node all the same.
     members = keys.join(shared, "key").join(sets.groupBy("rep").agg(F.max("sketch").alias("sketch")), "rep")
     members = kept(_in_pieces(members, F.ceil(F.col("members") / MEMBERS), "rep"), "members")
-    buckets = parts(members.count(), 50_000)
+    buckets = parts(members.count(), 5_000, least=96)
     place = F.pmod(F.xxhash64("key", "left", "right"), F.lit(buckets))
     likely = members.withColumn("bucket", place).groupBy("bucket").applyInArrow(_likely, "a long, b long")
     families = components(likely, "families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     full = _shingles(docs.join(wanted, "doc_id").select("doc_id", "text", "set", "family", "pieces"))
     full = kept(_in_pieces(full, F.col("pieces"), "rep"), "shingles")
     amount = full.agg(F.sum(F.octet_length("shingles").cast("long"))).first()[0] or 0
-    place = F.pmod(F.xxhash64("family", "left", "right"), F.lit(parts(amount, 12 << 20)))
+    place = F.pmod(F.xxhash64("family", "left", "right"), F.lit(parts(amount, 6 << 20, least=96)))
     links = full.withColumn("bucket", place).groupBy("bucket").applyInArrow(_verified, "a long, b long")
     grouped = components(links, "links")
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, Str
 
 from tidemark.llm.frames import cut
 from tidemark.llm.labelled import sample
-from tidemark.llm.texts import BYTE_VALUES, WHITE, Batch, Hashes, mix, pack, unpack, word_values, words
+from tidemark.llm.texts import BYTE_VALUES, WHITE, Batch, Hashes, mix, pack, sliced, unpack, word_values, words
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ def _examples(docs: DataFrame, settings: Settings) -> DataFrame:
     """``doc_id, label`` and the features of each text, with how much each counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches):
             batch, packed = Batch(rows.column(1)), []
             for i in range(len(batch)):
                 found = np.concatenate([f for f, _ in features(batch, i, i + 1, settings)])
@@ -134,7 +134,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], settings: Settings =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
-        for rows in batches:
+        for rows in sliced(batches):
             batch = Batch(rows.column(1))
             scores = np.empty(len(batch))
             for start, end in batch.chunks():

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut, kept
-from tidemark.llm.texts import (BYTE_VALUES, CHUNK, Batch, Hashes, mix, pack, sliding_min,
+from tidemark.llm.texts import (BYTE_VALUES, CHUNK, Batch, Hashes, mix, pack, sliced, sliding_min,
                                 unpack, unpack_all, word_values, words)
 
 SCHEMA = "kind int, bucket int, weight long, data binary"
@@ -282,13 +282,6 @@ def _shared(group: np.ndarray, side: np.ndarray, ids: np.ndarray, among: np.ndar
     return out
 
 
-def sliced(batches: Iterator[pa.RecordBatch], size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches in slices of about ``size`` bytes of text, their second column."""
-    for rows in batches:
-        for start, end in Batch(rows.column(1)).chunks(size):
-            yield rows.slice(start, end - start)
-
-
 def grouped(df: DataFrame, function, name: str) -> DataFrame:
     """``function`` on all rows of a kind and bucket, written."""
     return kept(df.groupBy("kind", "bucket").applyInArrow(function, SCHEMA), name)

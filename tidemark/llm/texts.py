@@ -110,6 +110,13 @@ class Batch:
             start = end
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int = 12 << 20, text: int = 1) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about ``size`` bytes of text, which is the column ``text``."""
+    for rows in batches:
+        for start, end in Batch(rows.column(text)).chunks(size):
+            yield rows.slice(start, end - start)
+
+
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word of the texts that ``bounds`` cuts ``data`` into, and the
     number of words before each text and in all. No word reaches over a bound."""

@@ -15,7 +15,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, Str
 
 from tidemark.llm.frames import cut
 from tidemark.llm.labelled import sample
-from tidemark.llm.texts import BYTE_VALUES, Batch, Hashes, words
+from tidemark.llm.texts import BYTE_VALUES, Batch, Hashes, sliced, words
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def _presence(texts: DataFrame) -> DataFrame:
     """In how many toxic and other texts each token is; added up within a batch already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches):
             batch, labels = Batch(rows.column(1)), np.array(rows.column(2).to_pylist(), dtype=bool)
             keys, counts = [], []
             for start, end in batch.chunks():
@@ -254,7 +254,7 @@ def _scored(docs: DataFrame, model: Model, settings: Settings, names: list[str])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        for rows in batches:
+        for rows in sliced(batches, text=place):
             scores, passages = [], []
             for count, own in _evidence(Batch(rows.column(place)), model, settings.drift):
                 x = _log_expected(count, max((s for _, _, s in own), default=0.0), model)
