@@ -2,46 +2,68 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import curate, packing, toxicity
-from tidemark.llm.frames import kept, load
+from tidemark.llm.frames import kept, load, noting
 from tidemark.llm.labelled import fold
 from tidemark.llm.registry import ship
+from tidemark.sources.staging import discard
 
 #: SQL cannot state the stages; tests compare each with a plain version of it.
 ORACLE_SQL = None
 
 
+#: Intermediate tables of the stage before. A stage is written before the next one is called, so
+#: that one's call says that they are done with.
+_left: list[str] = []
+
+
+def stage(function):
+    """Ship the code, clear away what the stage before has left, and note what this one leaves."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        while _left:
+            discard(spark, _left.pop())
+        with noting(_left):
+            return function(spark, docs, sf_dir)
+
+    return run
+
+
+@stage
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
-    ship(spark)
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2)
     return toxicity.accept(docs, model, threshold=0.3)
 
 
+@stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal ones."""
-    ship(spark)
     return curate.without_copies(docs)
 
 
+@stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    ship(spark)
     return curate.without_near_copies(docs)
 
 
+@stage
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what recurs from earlier documents."""
-    ship(spark)
     return curate.without_repeats(docs)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, packed."""
-    ship(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=2048)
 
 
@@ -51,6 +73,6 @@ STAGES = [("toxicity", clean), ("exact_dedup", exact), ("minhash_near_dedup", ne
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; what a stage keeps is written for the next."""
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name)
+    for name, function in STAGES[:-1]:
+        docs = kept(function(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -34,6 +34,20 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+#: Where :func:`kept` notes what it writes, for whoever knows when that is done with.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting(paths: list[str]):
+    """Tables that are kept within the block are added to ``paths``."""
+    _noted.append(paths)
+    try:
+        yield
+    finally:
+        _noted.pop()
+
+
 def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the folder all executors share, and read back.
 
@@ -42,6 +56,8 @@ def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     ``spark.checkpoint.dir`` and lasts as long as the frames that read it may."""
     spark = df.sparkSession
     path = path or staging_path(spark, name)
+    if _noted:
+        _noted[-1].append(path)
     writer = df.write.mode("errorifexists").option("compression", "none" if "data" in df.columns else "zstd")
     with _shuffles_removed(spark):
         writer.parquet(path)

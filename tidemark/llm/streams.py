@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import cut, kept
 from tidemark.sources.staging import staging_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State lies on disk. Without preallocation, a partition takes no more of it than it needs.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: What texts are compared without.
 WHITE = "".join(chr(c) for c in (0x20, *range(0x09, 0x0E)))
 
@@ -39,14 +42,16 @@ def track(arrivals: DataFrame, changes: str, checkpoint: str) -> None:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
     try:
         run = (state.writeStream.outputMode("update").foreachBatch(write)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         run.awaitTermination()
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _order() -> Column:
