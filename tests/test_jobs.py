@@ -151,7 +151,23 @@ def test_touched_dates_only(place, spark):
     run_raw_to_clean(read_raw(spark, place.raw, RAW_SCHEMA), place.clean, [FEEDS["current"]],
                      history, overwrite="touched")
     rows = read_layer(spark, f"{place.clean}/current").select("current_dt").collect()
-    assert sorted(r[0] for r in rows) == [NOON, NOON + DAY + 1]
+    assert sorted(r[0] for r in rows) == [NOON, NOON + DAY, NOON + DAY + 1]
+
+
+def test_touched_rows_are_replaced_by_grain(place, spark):
+    place.land(full(NOON), full(NOON + 1))
+    place.run()
+    raw = read_raw(spark, place.raw, RAW_SCHEMA)
+    for _ in range(2):
+        run_raw_to_clean(raw, place.clean, overwrite="touched")
+    rows = read_layer(spark, f"{place.clean}/hourly")
+    assert rows.count() == 2 * SIZES["hourly"] == rows.distinct().count()
+
+
+def test_second_hop_after_a_feed_without_rows(place, spark):
+    place.land(document(NOON))
+    run_raw_to_clean(read_raw(spark, place.raw, None), place.clean)
+    assert written(run_clean_to_analytic(spark, place.clean, place.analytic)) == {"current"}
 
 
 def test_backfill_over_many_dates_can_be_compacted(place, spark):

@@ -33,7 +33,11 @@ def _parser() -> argparse.ArgumentParser:
     hops = parser.add_subparsers(dest="hop", required=True)
     clean = hops.add_parser("clean", help="raw JSON to the clean layer")
     clean.add_argument("--raw", required=True, help="directory of JSON-lines files")
-    clean.add_argument("--infer", action="store_true", help="infer the schema of the raw files")
+    how = clean.add_mutually_exclusive_group()
+    how.add_argument("--infer", action="store_true",
+                     help="infer the schema of the raw files, which loses no field (default)")
+    how.add_argument("--declared", action="store_true",
+                     help="read the documented fields only, for one pass over the files less")
     clean.add_argument("--variant", action="append", default=[], metavar="LEAF",
                        help="leaf that arrives as struct<int, double>")
     analytic = hops.add_parser("analytic", help="clean layer to the analytic layer")
@@ -59,7 +63,8 @@ def main(arguments: list[str] | None = None) -> None:
     if args.hop == "clean":
         for spec in feeds:
             require_apart(args.raw, layer_path(args.out, spec))
-        schema = None if args.infer else needed_schema(feeds, raw_schema(args.variant))
+        declared = args.declared or (args.variant and not args.infer)
+        schema = needed_schema(feeds, raw_schema(args.variant)) if declared else None
         raw = read_raw(spark, args.raw, schema)
         results = run_raw_to_clean(
             raw, args.out, feeds, history, args.overwrite, args.compact

@@ -97,15 +97,14 @@ def newer_than_per_key(df: DataFrame, name: str, history: DataFrame, keys: Seque
     """:func:`newer_than` with one mark per key, so that a source that reports late is not
     measured by the others. Keys match null-safely; a key without history has ``default``.
 
-    The marks are pre-aggregated to one row per key and kept, which tells the planner their
-    true size: within ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and ``df``
-    is not shuffled. Beyond it both sides are shuffled by key, and adaptive execution splits
-    the partitions of hot keys, as every row of ``df`` meets at most one mark."""
+    The marks are pre-aggregated to one row per key, anew in every run, so that a history that
+    has grown counts as it is. Adaptive execution sees how many there are before it joins:
+    within its broadcast threshold they are broadcast. Beyond it both sides are shuffled by
+    key, and the partitions of hot keys are split, as every row of ``df`` meets at most one
+    mark."""
     marks = history.groupBy(
         *(column(key).alias(f"__key_{i}") for i, key in enumerate(keys))
     ).agg(F.max(F.col(history_name or name)).alias("__mark"))
-    marks = marks.persist()
-    marks.count()
     same_key = reduce(
         lambda left, right: left & right,
         (df[quoted(key)].eqNullSafe(F.col(f"__key_{i}")) for i, key in enumerate(keys)),

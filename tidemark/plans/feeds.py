@@ -132,9 +132,12 @@ def _struct(**fields: DataType) -> StructType:
 
 def raw_schema(variants: Collection[str] = ()) -> StructType:
     """Schema of a raw document. The numeric leaves named in ``variants`` (of ``current``,
-    ``hourly`` and ``daily``) are declared as ``struct<int, double>`` instead of one number."""
+    ``hourly`` and ``daily``) are declared as ``struct<int, double>`` instead of one number;
+    a name that is none of them is an error."""
+    known = set()
 
     def leaves(data_type: DataType, *names: str) -> dict[str, DataType]:
+        known.update(names)
         return {name: _VARIANT if name in variants else data_type for name in names}
 
     weather = ArrayType(_struct(id=_INT, main=_STRING, description=_STRING, icon=_STRING))
@@ -175,6 +178,8 @@ def raw_schema(variants: Collection[str] = ()) -> StructType:
         **leaves(_DOUBLE, "rain", "uvi", "pop"),
         weather=weather,
     )
+    if unknown := set(variants) - known:
+        raise ValueError(f"no numeric leaves of these names: {sorted(unknown)}")
     return _struct(
         lat=_DOUBLE,
         lon=_DOUBLE,
@@ -218,10 +223,13 @@ class FeedSpec:
     array: str | None
     #: Prefix of the feed's own columns in the clean layer.
     prefix: str
-    #: Array of structs of which the clean layer keeps the first, or None.
+    #: Array of structs that the clean layer splits to columns, or None.
     weather: str | None
     #: Official types of the clean layer.
     clean_types: Mapping[str, DataType | str]
+    #: Structs that get columns of their own; None for as many as the longest array of a batch
+    #: has. A fixed width, which streams need, keeps the others in ``<weather>_more``.
+    weather_width: int | None = None
     #: Seconds before the high-water mark that are read again for late data.
     lookback: int = 0
     #: Type that merged type variants get; ``float`` rounds to 32 bits.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from contextlib import nullcontext
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from tidemark.plans.feeds import (
 )
 from tidemark.plans.pipelines import analytic_mark, analytic_rows, clean_mark, clean_rows
 from tidemark.sources.readers import read_layer
-from tidemark.sources.staging import staged
+from tidemark.sources.staging import path_exists, staged
 from tidemark.sources.writers import Overwrite, compact, require_apart, write_partitioned
 
 ALL_FEEDS = tuple(FEEDS.values())
@@ -49,15 +51,19 @@ def _value(mark: DataFrame | Mark) -> Mark:
 def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec] = ALL_FEEDS,
                      history: Mapping[str, DataFrame] | None = None,
                      overwrite: Overwrite = "all", compacted: bool = False,
-                     stage: bool = True) -> list[HopResult]:
+                     stage: bool | None = None) -> list[HopResult]:
     """Write the clean increment of each feed below ``clean_root``.
 
     ``history`` holds, by feed name, what was cleaned before; a feed without one starts from
     nothing. The raw documents are parsed once for all feeds: those newer than the oldest
-    mark are staged as Parquet, from which each feed reads its own fields and increment. A
-    feed whose increment gives no row, or whose array an inferred schema does not even have,
-    is not written, so its last output stays. Raw documents that are columnar already need no
-    ``stage``.
+    mark are staged as Parquet, from which each feed reads its own fields and increment, if
+    there are several feeds or ``stage`` says so. A feed whose increment gives no row, or whose array an inferred schema does not even have,
+    is not written, so its last output stays. A feed that fails does not keep the others from
+    being written; the errors are raised at the end. Raw documents that are columnar already
+    need no ``stage``.
+
+    ``overwrite="touched"`` keeps the rows of a date that the increment does not replace, by
+    place, observation and forecast time.
 
     Every task writes a file for each date it meets. An increment spans few dates; for a
     backfill over many, ``compacted`` brings the rows of a date together first."""
@@ -68,14 +74,20 @@ def run_raw_to_clean(raw: DataFrame, clean_root: str, feeds: Iterable[FeedSpec]
     if present:
         oldest = min(marks[spec.name] - spec.lookback for spec in present)
         increment = newer_than(_needed(raw, present), OBSERVATION_EPOCH, oldest)
+        stage = len(present) > 1 if stage is None else stage
+        errors: list[Exception] = []
         with staged(increment, "raw-increment") if stage else nullcontext(increment) as documents:
             for spec in present:
                 newer = newer_than(
                     documents, OBSERVATION_EPOCH, marks[spec.name], spec.lookback
                 )
-                write = _writer(layer_path(clean_root, spec), overwrite, compacted)
-                if run_if_any(clean_rows(spec, newer), write):
-                    written.add(spec.name)
+                write = _writer(spec, layer_path(clean_root, spec), overwrite, compacted)
+                try:
+                    if run_if_any(clean_rows(spec, newer), write):
+                        written.add(spec.name)
+                except Exception as error:
+                    errors.append(error)
+        _raise(errors)
     return [HopResult(spec.name, marks[spec.name], spec.name in written) for spec in feeds]
 
 
@@ -86,20 +98,35 @@ def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: s
                           compacted: bool | None = None) -> list[HopResult]:
     """Write the analytic increment of each feed below ``analytic_root``, from the clean
     layer below ``clean_root`` and by the ``history`` of analytic rows. Whether rows of a date
-    are brought together is up to the feed unless ``compacted`` says so."""
+    are brought together is up to the feed unless ``compacted`` says so. A feed without a clean
+    layer yet has nothing to write, and one that fails does not keep the others from running."""
     history = history or {}
-    results = []
+    results, errors = [], []
     for spec in feeds:
-        require_apart(layer_path(clean_root, spec), layer_path(analytic_root, spec))
-        mark = _value(analytic_mark(history.get(spec.name)))
-        clean = read_layer(spark, layer_path(clean_root, spec))
-        rows = analytic_rows(spec, newer_than(clean, WEATHER_TIME, mark, lookback, DATE_PARTITION))
-        write = _writer(layer_path(analytic_root, spec), overwrite,
-                        spec.compact if compacted is None else compacted)
-        results.append(HopResult(spec.name, mark, bool(run_if_any(rows, write))))
+        try:
+            require_apart(layer_path(clean_root, spec), layer_path(analytic_root, spec))
+            mark = _value(analytic_mark(history.get(spec.name)))
+            done = False
+            if path_exists(spark, layer_path(clean_root, spec)):
+                clean = read_layer(spark, layer_path(clean_root, spec))
+                newer = newer_than(clean, WEATHER_TIME, mark, lookback, DATE_PARTITION)
+                write = _writer(spec, layer_path(analytic_root, spec), overwrite,
+                                spec.compact if compacted is None else compacted)
+                done = bool(run_if_any(analytic_rows(spec, newer), write))
+            results.append(HopResult(spec.name, mark, done))
+        except Exception as error:
+            errors.append(error)
+    _raise(errors)
     return results
 
 
+def _raise(errors: list[Exception]) -> None:
+    if len(errors) == 1:
+        raise errors[0]
+    if errors:
+        raise ExceptionGroup("several feeds failed", errors)
+
+
 def _needed(raw: DataFrame, feeds: Iterable[FeedSpec]) -> DataFrame:
     """What the feeds read of the raw documents; of the observation often just its time."""
     names = dict.fromkeys(name for spec in feeds for name in spec.raw_columns)
@@ -109,11 +136,31 @@ def _needed(raw: DataFrame, feeds: Iterable[FeedSpec]) -> DataFrame:
     return raw.select(*names)
 
 
-def _writer(path: str, overwrite: Overwrite, compacted: bool):
-    def write(rows: DataFrame) -> bool:
+def merged(spec: FeedSpec, rows: DataFrame, layer: DataFrame) -> DataFrame:
+    """``rows``, and those rows of their dates in ``layer`` that none of them replaces. Rows
+    are the same if place, observation and forecast time are."""
+    own = () if spec.array is None else (f"{spec.prefix}_dt",)
+    grain = ("lat", "lon", WEATHER_TIME, *own)
+    new = rows.select(*(column(name).alias(f"__new_{name}") for name in grain)).distinct()
+    same = reduce(and_, (column(name).eqNullSafe(F.col(f"__new_{name}")) for name in grain))
+    dates = rows.select(DATE_PARTITION).distinct()
+    old = layer.join(dates, DATE_PARTITION, "left_semi").join(new, same, "left_anti")
+    return rows.unionByName(old, allowMissingColumns=True)
+
+
+def _writer(spec: FeedSpec, path: str, overwrite: Overwrite, compacted: bool):
+    def put(rows: DataFrame) -> None:
         if compacted:
             rows = compact(rows, DATE_PARTITION)
         write_partitioned(rows, path, DATE_PARTITION, overwrite)
+
+    def write(rows: DataFrame) -> bool:
+        spark = rows.sparkSession
+        if overwrite == "touched" and path_exists(spark, path):
+            with staged(merged(spec, rows, read_layer(spark, path)), "merged") as whole:
+                put(whole)
+        else:
+            put(rows)
         return True
 
     return write

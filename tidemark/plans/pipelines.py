@@ -8,11 +8,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from tidemark.functions.casts import CastMode
 from tidemark.functions.naming import column
 from tidemark.functions.times import add_time_columns, epochs_to_times
-from tidemark.operators.arrays import explode_prefix, first_struct
+from tidemark.operators.arrays import explode_prefix, first_struct, max_length
 from tidemark.operators.incremental import (
     EPOCH_ZERO,
     TIME_ZERO,
@@ -56,6 +58,27 @@ def analytic_mark(analytic: DataFrame | None) -> DataFrame | Mark:
     return layer_mark(analytic, WEATHER_TIME, TIME_ZERO)
 
 
+def conditions(rows: DataFrame, spec: FeedSpec) -> DataFrame:
+    """All weather conditions of ``rows`` as columns, ``[0]`` to ``[n - 1]``.
+
+    Without a fixed width, the longest array decides; that is one aggregation, which reads
+    only the array. With one, whatever is beyond it stays in ``<weather>_more``. Columns of
+    ``[0]`` exist, as typed NULLs, even if a batch has no condition or an inferred schema no
+    such array."""
+    width = spec.weather_width
+    kind = rows.schema[spec.weather].dataType if spec.weather in rows.columns else None
+    if not (isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType)):
+        first = {name: data_type for name, data_type in spec.clean_types.items()
+                 if name.startswith(f"{spec.weather}[0]_")}
+        nothing = {name: F.lit(None).cast(data_type) for name, data_type in first.items()}
+        return rows.drop(spec.weather).withColumns(nothing)
+    if width is None:
+        return first_struct(rows, spec.weather, max(1, max_length(rows, spec.weather)))
+    every = column(spec.weather)
+    more = F.slice(every, width + 1, F.greatest(F.size(every) - width, F.lit(0)))
+    return first_struct(rows.withColumn(f"{spec.weather}_more", more), spec.weather, width)
+
+
 def clean_rows(spec: FeedSpec, raw: DataFrame, mode: CastMode = "try_cast",
                outer: bool = False) -> DataFrame:
     """Clean rows of all documents in ``raw``. ``outer`` keeps a row for documents whose
@@ -67,13 +90,24 @@ def clean_rows(spec: FeedSpec, raw: DataFrame, mode: CastMode = "try_cast",
             *LOCATION, column(OBSERVATION, OBSERVATION_DT).alias(CURRENT_DT), spec.array
         ).transform(explode_prefix, spec.array, spec.prefix, outer)
     if spec.weather is not None:
-        rows = first_struct(rows, spec.weather)
-    return (
+        rows = conditions(rows, spec)
+    rows = (
         rows.transform(flatten_all)
         .transform(merge_variants, None, spec.variant_type, mode)
         .transform(add_time_columns, CURRENT_DT, TIME_PREFIX)
-        .transform(enforce, spec.clean_types, mode)
     )
+    return enforce(rows, official_types(spec, rows.columns), mode)
+
+
+def official_types(spec: FeedSpec, columns: Sequence[str]) -> dict[str, DataType | str]:
+    """The official types of the columns there are; further conditions have the first one's."""
+    types = dict(spec.clean_types)
+    for name in columns:
+        if spec.weather is not None and name.startswith(f"{spec.weather}["):
+            first = f"{spec.weather}[0]_{name.partition(']_')[2]}"
+            if first in types:
+                types[name] = types[first]
+    return types
 
 
 def raw_to_clean(spec: FeedSpec, raw: DataFrame, clean: DataFrame | None = None,
@@ -82,8 +116,8 @@ def raw_to_clean(spec: FeedSpec, raw: DataFrame, clean: DataFrame | None = None,
     """Clean rows of the documents newer than the ``clean`` history, less the look-back.
 
     ``keys``, e.g. ``("lat", "lon")``, measures each location by its own history instead of
-    the newest of all. ``dedupe`` drops copies of a row that came in twice; copies are merged
-    before the shuffle by grain that it costs."""
+    the newest of all. ``dedupe`` drops exact copies of a row that came in twice; copies are
+    merged before the shuffle that it costs. Rows that differ in anything stay."""
     if keys and clean is not None:
         newer = newer_than_per_key(
             raw, OBSERVATION_EPOCH, clean, keys, EPOCH_ZERO, spec.lookback, CURRENT_DT
@@ -91,7 +125,7 @@ def raw_to_clean(spec: FeedSpec, raw: DataFrame, clean: DataFrame | None = None,
     else:
         newer = newer_than(raw, OBSERVATION_EPOCH, clean_mark(clean), spec.lookback)
     rows = clean_rows(spec, newer, mode, outer)
-    return rows.dropDuplicates(list(spec.grain)) if dedupe else rows
+    return rows.dropDuplicates() if dedupe else rows
 
 
 def analytic_rows(spec: FeedSpec, clean: DataFrame) -> DataFrame:
@@ -104,9 +138,11 @@ def analytic_rows(spec: FeedSpec, clean: DataFrame) -> DataFrame:
 
 
 def clean_to_analytic(spec: FeedSpec, clean: DataFrame, analytic: DataFrame | None = None,
-                      lookback: int = 0) -> DataFrame:
+                      lookback: int = 0, dedupe: bool = False) -> DataFrame:
     """Analytic rows of the clean rows newer than the ``analytic`` history. A ``lookback`` in
-    seconds reads late rows again, along with those already there."""
+    seconds reads late rows again, along with those already there. ``dedupe`` drops exact
+    copies."""
     newer = newer_than(clean, WEATHER_TIME, analytic_mark(analytic), lookback, DATE_PARTITION)
-    return analytic_rows(spec, newer)
+    rows = analytic_rows(spec, newer)
+    return rows.dropDuplicates() if dedupe else rows
 

@@ -16,7 +16,8 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -28,6 +29,12 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, on whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder that :func:`staging_path` named."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

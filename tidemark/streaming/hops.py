@@ -6,6 +6,8 @@ work is that of the batch pipelines."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -30,7 +32,11 @@ def read_layer_stream(spark: SparkSession, path: str, schema: StructType) -> Dat
 
 
 def clean_stream(spec: FeedSpec, raw: DataFrame) -> DataFrame:
-    """Clean rows of a raw stream. Documents without an observation time are left out."""
+    """Clean rows of a raw stream. Documents without an observation time are left out. As a
+    stream has one schema, a feed without a fixed width has columns for one weather condition,
+    and the others in an array."""
+    if spec.weather_width is None:
+        spec = replace(spec, weather_width=1)
     return clean_rows(spec, raw.where(column(OBSERVATION, OBSERVATION_DT).isNotNull()))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,9 +183,11 @@ def _stream_clean_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _json_files(spark, CURRENT, events(spark, sf_dir))
     schema = needed_schema([CURRENT], DOCUMENT_SCHEMA)
     layer, checkpoint = staging_path(spark, "streamed"), staging_path(spark, "progress")
-    rows = clean_stream(CURRENT, read_raw_stream(spark, path, schema))
+    rows = clean_stream(replace(CURRENT, weather_width=2), read_raw_stream(spark, path, schema))
     start_layer(rows, layer, checkpoint).awaitTermination()
-    return without_zone(read_layer(spark, layer, rows.schema))
+    stored = read_layer(spark, layer, rows.schema)
+    # No document has more than two conditions.
+    return without_zone(stored.drop("current_weather_more"))
 
 
 @registry.add(
@@ -201,16 +205,43 @@ def _clean_minutely_high_precision(spark: SparkSession, sf_dir: str) -> DataFram
 @registry.add(
     "clean_minutely_dedupe",
     f"""
-    SELECT DISTINCT lat, lon, current_dt, time_precipitation_amt_dt
-    FROM ({clean_sql("minutely")})
+    SELECT DISTINCT * FROM ({clean_sql("minutely")})
     """,
 )
 def _clean_minutely_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents twice, without the copies. Places are derived from users such that some
-    share one, so only the columns that tell rows apart are compared."""
+    """All documents twice, without the copies."""
     raw = documents(spark, sf_dir)
-    rows = raw_to_clean(MINUTELY, raw.unionAll(raw), dedupe=True)
-    return rows.select(*MINUTELY.grain)
+    return without_zone(raw_to_clean(MINUTELY, raw.unionAll(raw), dedupe=True))
+
+
+@registry.add(
+    "analytic_hourly_lookback_dedupe",
+    f"SELECT DISTINCT * FROM ({_analytic_sql(HOURLY, f's > {_newest_sql()} - 86400')})",
+)
+def _analytic_hourly_lookback_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of clean rows, all of them twice, read again without the copies."""
+    rows = raw_to_clean(HOURLY, documents(spark, sf_dir))
+    history = _analytic_history(spark, sf_dir)
+    return without_zone(clean_to_analytic(HOURLY, rows.unionAll(rows), history, 86400, True))
+
+
+@registry.add(
+    "clean_daily_fixed_width",
+    f"""
+    SELECT * EXCLUDE ("daily_weather_forecast_weather[1]_id", "daily_weather_forecast_weather[1]_main",
+                      "daily_weather_forecast_weather[1]_description", "daily_weather_forecast_weather[1]_icon",
+                      "daily_weather_forecast_weather[2]_id", "daily_weather_forecast_weather[2]_main",
+                      "daily_weather_forecast_weather[2]_description", "daily_weather_forecast_weather[2]_icon"),
+           concat_ws(',', "daily_weather_forecast_weather[1]_icon", "daily_weather_forecast_weather[2]_icon")
+               AS daily_weather_forecast_weather_more
+    FROM ({clean_sql("daily")})
+    """,
+)
+def _clean_daily_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns for one condition, and the others in an array, of which the icons are compared."""
+    rows = raw_to_clean(replace(DAILY, weather_width=1), documents(spark, sf_dir))
+    more = "daily_weather_forecast_weather_more"
+    return without_zone(rows.withColumn(more, F.concat_ws(",", F.coalesce(f"{more}.icon", F.array()))))
 
 
 @registry.add(

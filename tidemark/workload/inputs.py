@@ -147,16 +147,20 @@ ELEMENTS_SQL = {
 }
 
 _WEATHER_SQL = """
-    CASE WHEN {some} THEN {number} + 200 END AS "{prefix}_id",
+    CASE WHEN {some} THEN {number} + {j} + 200 END AS "{prefix}_id",
     CASE WHEN {some} THEN event_type END AS "{prefix}_main",
     CASE WHEN {some} THEN event_type || ' ' || {number} END AS "{prefix}_description",
-    CASE WHEN {some} THEN {number} || 'd' END AS "{prefix}_icon"
+    CASE WHEN {some} THEN ({number} + {j}) || 'd' END AS "{prefix}_icon"
 """
 
 
-def _weather_sql(prefix: str, number: str, length: str, null_if: str) -> str:
-    some = f"({length} > 0 AND NOT {null_if})"
-    return _WEATHER_SQL.format(some=some, number=f"({number})", prefix=f"{prefix}_weather[0]")
+def _weather_sql(prefix: str, number: str, length: str, null_if: str, longest: int) -> str:
+    """Columns of all conditions, of which an array has ``longest`` at most."""
+    return ", ".join(
+        _WEATHER_SQL.format(some=f"({length} > {j} AND NOT {null_if})", number=f"({number})",
+                            prefix=f"{prefix}_weather[{j}]", j=j)
+        for j in range(longest)
+    )
 
 
 _LOCATION_SQL = """
@@ -185,7 +189,7 @@ _CURRENT_SQL = f"""
     k * 3 AS current_wind_deg,
     CASE WHEN k % 2 = 0 THEN v + 1 WHEN k % 3 = 0 THEN CAST(k * 2 AS DOUBLE) END
         AS current_wind_gust,
-    {_weather_sql("current", "k", "k % 3", "k % 11 = 0")}
+    {_weather_sql("current", "k", "k % 3", "k % 11 = 0", 2)}
 """
 
 _MINUTELY_SQL = """
@@ -210,7 +214,7 @@ _HOURLY_SQL = f"""
         AS hourly_weather_forecast_wind_gust,
     k * CAST(0.01 AS DOUBLE) AS hourly_weather_forecast_pop,
     CASE WHEN (k + i) % 2 = 0 THEN v * 0.0625 END AS hourly_weather_forecast_rain_1h,
-    {_weather_sql("hourly_weather_forecast", "k + i", "(k + i) % 3", "k % 7 = 0")}
+    {_weather_sql("hourly_weather_forecast", "k + i", "(k + i) % 3", "k % 7 = 0", 2)}
 """
 
 _DAILY_SQL = f"""
@@ -239,7 +243,7 @@ _DAILY_SQL = f"""
     v * 0.75 AS daily_weather_forecast_rain,
     CAST(v / 9 AS FLOAT) AS daily_weather_forecast_uvi,
     CAST(k / CAST(100 AS DOUBLE) AS FLOAT) AS daily_weather_forecast_pop,
-    {_weather_sql("daily_weather_forecast", "k + i", "(k + i) % 4", "k % 7 = 1")}
+    {_weather_sql("daily_weather_forecast", "k + i", "(k + i) % 4", "k % 7 = 1", 3)}
 """
 
 _OWN_SQL = {
