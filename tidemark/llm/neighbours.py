@@ -63,11 +63,21 @@ class Tree:
         rows = np.full((count, k), -1)
         points = np.column_stack([queries, np.zeros(count)])
         length = np.einsum("ij,ij->i", queries, queries)
+        slack = 1e-9 * (1 + np.sqrt(length) * np.sqrt(np.einsum("ij,ij->i", self.points, self.points).max(initial=0)))
         square = float(np.einsum("j,j->", self.points[0], self.points[0])) if self.ids.size else 0.0
 
         def visit(node, who: np.ndarray, bound: bool) -> None:
             if not isinstance(node, tuple):
-                scores = _every_product(queries[who], self.vectors[node])
+                # Products by matrix rule out most; those that may count are added up in order.
+                rough = queries[who] @ self.vectors[node].T
+                may = rough >= (best[who, -1] - slack[who])[:, None]
+                some = may.any(axis=1)
+                who, may = who[some], may[some]
+                if not who.size:
+                    return
+                left, right = np.nonzero(may)
+                scores = np.full(may.shape, -np.inf)
+                scores[left, right] = _products(queries[who[left]], self.vectors[node[right]])
                 scores[query_ids[who][:, None] == self.ids[node][None, :]] = -np.inf
                 every = np.concatenate([best[who], scores], axis=1)
                 named = np.concatenate([rows[who], np.broadcast_to(node, scores.shape)], axis=1)
@@ -104,15 +114,6 @@ class Tree:
         return rows, best
 
 
-def _every_product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Inner products of every row with every row, added up in the same order, so that equal
-    vectors have equal products wherever they are."""
-    total = np.multiply.outer(left[:, 0], right[:, 0])
-    for i in range(1, left.shape[1]):
-        total += np.multiply.outer(left[:, i], right[:, i])
-    return total
-
-
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Inner products row by row in double precision, added up from the first component on."""
     return np.cumsum(left * right, axis=1)[:, -1] if left.shape[1] else np.zeros(left.shape[0])
