@@ -18,9 +18,9 @@ from tidemark.llm.texts import Batch, Hashes, mix, sliced, word_values, words
 WORDS, REGISTERS, ROWS = 5, 128, 4
 #: Links have at least this part of their union in common.
 PART = 75
-#: Signatures must agree in this part of their registers to be compared in full: four standard
-#: errors below the least link.
-LIKELY = 0.6
+#: Signatures must agree in this part of their registers to be compared in full: five standard
+#: errors below the least link, so that this loses fewer links than the bands do.
+LIKELY = 0.55
 #: Members of a bucket, and shingles of a family, that are compared in one piece.
 MEMBERS, SHINGLES = 512, 1 << 20
 
