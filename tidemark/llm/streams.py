@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import cut, kept
 from tidemark.sources.staging import staging_path
 
-#: State lies on disk. Without preallocation, a partition takes no more of it than it needs.
+#: State lies on disk. Without preallocation, a partition takes no more of it than it needs. All
+#: partitions of an executor share one bound on what they hold in memory, and are closed soon
+#: after the stream has ended.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 #: What texts are compared without.
 WHITE = "".join(chr(c) for c in (0x20, *range(0x09, 0x0E)))
