@@ -20,7 +20,7 @@ from tidemark.llm.texts import Hashes, pack, unpack, word_values, words
 #: Words of a window, and of the grams that mark windows.
 WIDTH, GRAM = 50, 10
 #: Bytes of text for a bucket, runs for a shard, and windows whose automaton is in memory at a time.
-BUCKET_BYTES, SHARD_RUNS, AUTOMATON = 16 << 20, 4000, 20_000
+BUCKET_BYTES, SHARD_RUNS, AUTOMATON = 8 << 20, 4000, 20_000
 
 
 def _passages(texts: Texts, rows: pa.Table, shards: int) -> pa.Table:

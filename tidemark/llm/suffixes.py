@@ -21,7 +21,7 @@ from tidemark.llm.texts import pack, unpack
 #: Bytes of a string that counts, of the grams that mark windows, and of a token of a suffix.
 WIDTH, GRAM, TOKEN = 50, 20, 8
 #: Bytes of text for a bucket, and suffixes for a bucket.
-BUCKET_BYTES, BUCKET_SUFFIXES = 16 << 20, 1 << 19
+BUCKET_BYTES, BUCKET_SUFFIXES = 8 << 20, 1 << 19
 #: Documents that splitters are sampled from, and suffixes of each. They balance the buckets and
 #: have no influence on results.
 SAMPLED, EACH = 4000, 8

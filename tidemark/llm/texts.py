@@ -4,6 +4,7 @@ Everything here works inside one task, on one batch or one bounded group."""
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Iterator, Sequence
 
@@ -17,7 +18,13 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 _ODD = 0x9E3779B97F4A7C15
 #: Units (bytes or words) that are hashed at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+
+#: Arrays from this size on go back to the system when they are freed. The C library would raise
+#: the limit to 32 MiB by itself, and workers, which live on, keep what their largest task took.
+_RETURNED, _M_MMAP_THRESHOLD = 4 << 20, -3
+if hasattr(ctypes.CDLL(None), "mallopt"):
+    ctypes.CDLL(None).mallopt(_M_MMAP_THRESHOLD, _RETURNED)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -178,8 +185,10 @@ def unpack(value: bytes) -> list[np.ndarray]:
 
 def unpack_all(values: Sequence[bytes], kinds: Sequence[str]) -> list[np.ndarray]:
     """The arrays of many packed values, each joined with its like."""
-    columns = [unpack(value) for value in values]
-    return [np.concatenate([c[i] for c in columns]) if columns else np.zeros(0, kind) for i, kind in enumerate(kinds)]
+    columns, joined = [unpack(value) for value in values], []
+    for kind in kinds:
+        joined.append(np.concatenate([c.pop(0) for c in columns]) if columns else np.zeros(0, kind))
+    return joined
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
