@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.staging import staging_path
+from tidemark.sources.staging import discard, staging_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -64,6 +65,19 @@ def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, name: str, work: Callable[[], DataFrame]) -> DataFrame:
+    """What ``work`` returns, written; the tables that it kept on the way are deleted, whether or
+    not it succeeds."""
+    paths: list[str] = []
+    try:
+        with noting(paths):
+            result = work()
+        return kept(result, name)
+    finally:
+        for path in paths:
+            discard(spark, path)
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> tuple[int, int]:
     """Rows, and bytes of all texts: what partition counts are derived from."""
     rows, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(column).cast("long"))).first()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, neighbours, packing, phrases, quality, streams, suffixes, tokens, toxicity, urls
+from tidemark.llm import licences, neardup, neighbours, packing, phrases, quality, ranked, streams, suffixes, tokens, toxicity, urls, whitening
 from tidemark.llm.frames import load
 from tidemark.llm.labelled import fold, judged
 from tidemark.llm.registry import query
@@ -93,3 +93,42 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_minhash_neardup")
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query("op11_ranked_search", sql=r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), sizes AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+    corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+    asked AS (
+        SELECT item_id, term, count(*) AS times
+        FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+        GROUP BY item_id, term
+    ),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs
+    ),
+    scored AS (
+        SELECT item_id, doc_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (r), corpus GROUP BY item_id, doc_id, r
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    WHERE rank <= 20
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=20)
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = (*licences.PHRASES, *licences.NOTICES)
+    return licences.summary(licences.scan(load(spark, sf_dir, "documents"), templates), base=len(licences.PHRASES))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"), most=4)
