@@ -116,7 +116,7 @@ def test_late_report_beyond_the_mark_is_lost_but_for_the_hourly_look_back(place)
 def test_staging_is_cleared(place, spark):
     place.land(full(NOON))
     place.run()
-    assert not glob.glob(f"{staging_root(spark)}/tidemark/raw-increment-*")
+    assert not glob.glob(f"{staging_root(spark)}/tidemark/*/raw-increment-*")
 
 
 def test_columnar_documents_need_no_staging(place, spark, tmp_path):

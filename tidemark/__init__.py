@@ -23,13 +23,16 @@ from tidemark.plans.feeds import (
 from tidemark.plans.jobs import run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
 from tidemark.session import configure
-from tidemark.sources.readers import parse_raw, read_layer, read_raw, read_table
+from tidemark.sources.layers import Layer, Table, read_layer
+from tidemark.sources.readers import parse_raw, read_raw, read_table
 from tidemark.sources.writers import compact, write_partitioned
 
 __all__ = [
     "FEEDS",
     "RAW_SCHEMA",
     "FeedSpec",
+    "Layer",
+    "Table",
     "add_time_columns",
     "clean_to_analytic",
     "compact",

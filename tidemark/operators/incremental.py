@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
+from operator import and_
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
@@ -54,14 +55,14 @@ def high_water_mark(df: DataFrame, name: str, default: Mark = EPOCH_ZERO,
     return df.agg(F.coalesce(F.max(F.col(name)), mark_literal(default)).alias(_MARK))
 
 
-def read_mark(mark: DataFrame) -> Mark:
-    """Run :func:`high_water_mark` and bring the one value to the driver. Timestamps travel
-    as microseconds and come back zone-aware."""
+def read_mark(mark: DataFrame) -> Mark | None:
+    """Run :func:`high_water_mark`, or another frame of one value, and bring that to the driver.
+    Timestamps travel as microseconds and come back zone-aware; NULL is None."""
     field = mark.schema[0]
     value = column(field.name)
     if isinstance(field.dataType, TimestampType):
         micros = mark.select(F.unix_micros(value)).first()[0]
-        return TIME_ZERO + timedelta(microseconds=micros)
+        return None if micros is None else TIME_ZERO + timedelta(microseconds=micros)
     return mark.select(value).first()[0]
 
 
@@ -93,7 +94,7 @@ def newer_than(df: DataFrame, name: str, mark: Mark | DataFrame, lookback: int =
 
 def newer_than_per_key(df: DataFrame, name: str, history: DataFrame, keys: Sequence[str],
                        default: Mark = EPOCH_ZERO, lookback: int = 0,
-                       history_name: str | None = None) -> DataFrame:
+                       history_name: str | None = None, narrow: bool = False) -> DataFrame:
     """:func:`newer_than` with one mark per key, so that a source that reports late is not
     measured by the others. Keys match null-safely; a key without history has ``default``.
 
@@ -101,19 +102,32 @@ def newer_than_per_key(df: DataFrame, name: str, history: DataFrame, keys: Seque
     has grown counts as it is. Adaptive execution sees how many there are before it joins:
     within its broadcast threshold they are broadcast. Beyond it both sides are shuffled by
     key, and the partitions of hot keys are split, as every row of ``df`` meets at most one
-    mark."""
+    mark.
+
+    ``narrow`` is for wide rows and many keys, such as whole documents: the marks meet only keys
+    and times of ``df``, each pair of these once, so that exchange stays narrow. The pairs that
+    are news grow with the news and not with the history; the rows are then taken by them, where
+    they lie as long as the pairs are within the threshold."""
     marks = history.groupBy(
         *(column(key).alias(f"__key_{i}") for i, key in enumerate(keys))
     ).agg(F.max(F.col(history_name or name)).alias("__mark"))
-    same_key = reduce(
-        lambda left, right: left & right,
-        (df[quoted(key)].eqNullSafe(F.col(f"__key_{i}")) for i, key in enumerate(keys)),
-    )
-    joined = df.join(marks, same_key, "left")
     bound = F.coalesce(F.col("__mark"), mark_literal(default))
     if lookback:
         bound = _seconds_before(bound, marks.schema["__mark"].dataType, lookback)
-    return joined.where(F.col(name) > bound).drop(*marks.columns)
+
+    def same(left: Sequence[Column], right: str) -> Column:
+        return reduce(and_, (key.eqNullSafe(F.col(f"{right}_{i}")) for i, key in enumerate(left)))
+
+    own = [df[quoted(key)] for key in keys]
+    if not narrow:
+        joined = df.join(marks, same(own, "__key"), "left")
+        return joined.where(F.col(name) > bound).drop(*marks.columns)
+    pairs = df.select(
+        *(column(key).alias(f"__of_{i}") for i, key in enumerate(keys)), F.col(name).alias("__time")
+    ).distinct()
+    met = pairs.join(marks, same([F.col(f"__of_{i}") for i in range(len(keys))], "__key"), "left")
+    news = met.where(F.col("__time") > bound).drop(*marks.columns)
+    return df.join(news, same(own, "__of") & (F.col(name) == F.col("__time")), "left_semi")
 
 
 def run_if_any(df: DataFrame, action: Callable[[DataFrame], Result]) -> Result | None:

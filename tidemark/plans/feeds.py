@@ -252,9 +252,14 @@ class FeedSpec:
 
     @property
     def grain(self) -> tuple[str, ...]:
-        """Columns that identify a row of the clean layer."""
+        """Columns that identify a row of either layer: place, observation and forecast time."""
         own = () if self.array is None else (f"{self.prefix}_dt",)
-        return ("lat", "lon", CURRENT_DT, *own)
+        return ("lat", "lon", WEATHER_TIME, *own)
+
+    @property
+    def conditions(self) -> str | None:
+        """Field of the raw documents that holds the weather conditions, or None."""
+        return None if self.weather is None else self.weather.removeprefix(f"{self.prefix}_")
 
 
 def _weather_names(array: str, state: str) -> dict[str, str]:

@@ -1,4 +1,4 @@
-"""Reading raw documents, layers and catalog tables."""
+"""Reading raw documents and catalog tables."""
 
 from __future__ import annotations
 
@@ -25,12 +25,6 @@ def parse_raw(df: DataFrame, text: Column, schema: StructType) -> DataFrame:
     return df.select(F.inline(document))
 
 
-def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet directory of a layer, with the partition column found from its directories."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
-
-
 def read_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     """Catalog table or view. The name is qualified rather than the session's current
     database changed, so that reads of several layers cannot disturb each other."""

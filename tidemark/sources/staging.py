@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import delete_at_exit, discard, path_exists
+
 
 def staging_root(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it. Only a session that
@@ -25,20 +27,12 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{staging_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path``, on whatever file system it names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder that :func:`staging_path` named."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """A path below the shared folder that no other run uses. What is left there goes when the
+    application ends."""
+    own = f"{staging_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if not path_exists(spark, own):
+        delete_at_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.naming import column
 from tidemark.plans.feeds import DATE_PARTITION, OBSERVATION, OBSERVATION_DT, FeedSpec
 from tidemark.plans.pipelines import analytic_rows, clean_rows
+from tidemark.sources.layers import Layer
 
 
 def read_raw_stream(spark: SparkSession, path: str, schema: StructType,
@@ -26,8 +27,14 @@ def read_raw_stream(spark: SparkSession, path: str, schema: StructType,
     return reader.json(path)
 
 
-def read_layer_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parquet files as they are added to a layer."""
+def read_layer_stream(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Parquet files as they are added to a layer, with the columns its batches have had so far,
+    or those of ``schema``."""
+    if schema is None:
+        state = Layer(spark, path, DATE_PARTITION).state()
+        if state is None:
+            raise ValueError(f"{path!r} has no stored schema; pass one")
+        schema = state.schema
     return spark.readStream.schema(schema).parquet(path)
 
 
@@ -47,7 +54,9 @@ def analytic_stream(spec: FeedSpec, clean: DataFrame) -> DataFrame:
 
 def start_layer(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what is available now to a layer, one directory per date, then stop. The next
-    start with the same ``checkpoint`` goes on from there."""
+    start with the same ``checkpoint`` goes on from there. The layer's stored schema takes in
+    the stream's first, so a stream of other columns than the last one loses none."""
+    Layer(rows.sparkSession, path, DATE_PARTITION).register(rows.schema)
     return (
         rows.writeStream.format("parquet")
         .partitionBy(DATE_PARTITION)

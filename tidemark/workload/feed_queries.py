@@ -21,7 +21,8 @@ from tidemark.plans.feeds import (
 )
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
-from tidemark.sources.readers import parse_raw, read_layer, read_raw
+from tidemark.sources.layers import read_layer
+from tidemark.sources.readers import parse_raw, read_raw
 from tidemark.sources.staging import staging_path
 from tidemark.streaming import clean_stream, read_raw_stream, start_layer
 from tidemark.workload.inputs import (

@@ -24,7 +24,8 @@ from tidemark.operators.nested import flatten_all, flatten_struct, flatten_struc
 from tidemark.operators.reconcile import merge_variants
 from tidemark.operators.shaping import enforce, rename_drop, reorder
 from tidemark.plans.feeds import SECONDS_PER_DAY
-from tidemark.sources.readers import read_layer, read_table
+from tidemark.sources.layers import read_layer
+from tidemark.sources.readers import read_table
 from tidemark.sources.staging import staging_path
 from tidemark.sources.writers import compact, write_partitioned
 from tidemark.workload.inputs import CUTOFF, EVENTS_CTE, events, table
