@@ -10,7 +10,7 @@ from tidemark.operators.incremental import (
     run_if_any,
 )
 from tidemark.operators.nested import flatten_all, flatten_struct, flatten_structs, struct_columns
-from tidemark.operators.reconcile import merge_variants, variant_groups
+from tidemark.operators.reconcile import merge_variants, merge_variants_within, variant_groups
 from tidemark.operators.shaping import enforce, rename_drop, reorder
 from tidemark.plans.feeds import (
     FEEDS,
@@ -23,6 +23,7 @@ from tidemark.plans.feeds import (
 from tidemark.plans.jobs import run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_to_analytic, raw_to_clean
 from tidemark.session import configure
+from tidemark.sources.documents import landed, parse_documents
 from tidemark.sources.layers import Layer, Table, read_layer
 from tidemark.sources.readers import parse_raw, read_raw, read_table
 from tidemark.sources.writers import compact, write_partitioned
@@ -47,10 +48,13 @@ __all__ = [
     "high_precision",
     "high_water_mark",
     "max_length",
+    "landed",
     "merge_variants",
+    "merge_variants_within",
     "needed_schema",
     "newer_than",
     "newer_than_per_key",
+    "parse_documents",
     "parse_raw",
     "raw_schema",
     "raw_to_clean",

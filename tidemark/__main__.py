@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import ExitStack
 
 from pyspark.sql import SparkSession
 
@@ -10,6 +11,7 @@ from tidemark.plans.feeds import DATE_PARTITION, FEEDS, needed_schema, raw_schem
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import History
 from tidemark.session import configure
+from tidemark.sources.documents import landed
 from tidemark.sources.layers import Layer, Table
 from tidemark.sources.readers import read_raw, read_table
 from tidemark.sources.writers import require_apart
@@ -41,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
                      help="infer the schema of the raw files, which loses no field (default)")
     how.add_argument("--declared", action="store_true",
                      help="read the documented fields only, for one pass over the files less")
+    how.add_argument("--schema", metavar="FILE",
+                     help="parse once, keep every field, and add those that are new to this file")
     clean.add_argument("--variant", action="append", default=[], metavar="LEAF",
                        help="leaf that arrives as struct<int, double>")
     clean.add_argument("--key", action="append", default=[], metavar="COLUMN",
@@ -77,13 +81,18 @@ def main(arguments: list[str] | None = None) -> None:
     if args.hop == "clean":
         for spec in feeds:
             require_apart(args.raw, layer_path(args.out, spec))
-        declared = args.declared or (args.variant and not args.infer)
+        declared = args.declared or (args.variant and not args.infer and not args.schema)
         schema = needed_schema(feeds, raw_schema(args.variant)) if declared else None
-        raw = read_raw(spark, args.raw, schema)
-        results = run_raw_to_clean(
-            raw, args.out, feeds, history, args.overwrite, args.compact, None, args.key,
-            args.dedupe, args.cast, args.outer, args.log
-        )
+        with ExitStack() as staged:
+            if args.schema:
+                lines = spark.read.text(args.raw)
+                raw = staged.enter_context(landed(lines, raw_schema(args.variant), args.schema)).documents
+            else:
+                raw = read_raw(spark, args.raw, schema)
+            results = run_raw_to_clean(
+                raw, args.out, feeds, history, args.overwrite, args.compact, None, args.key,
+                args.dedupe, args.cast, args.outer, args.log
+            )
     else:
         results = run_clean_to_analytic(
             spark, args.clean, args.out, feeds, history, args.overwrite, args.lookback,

@@ -25,7 +25,7 @@ from tidemark.operators.incremental import (
     newer_than_per_key,
 )
 from tidemark.operators.nested import flatten_all, flatten_struct
-from tidemark.operators.reconcile import merge_variants
+from tidemark.operators.reconcile import merge_variants, merge_variants_within
 from tidemark.operators.shaping import enforce, rename_drop, reorder
 from tidemark.plans.feeds import (
     CURRENT_DT,
@@ -141,6 +141,7 @@ def clean_rows(spec: FeedSpec, raw: DataFrame, mode: CastMode = "try_cast",
     rows = (
         rows.transform(flatten_all)
         .transform(merge_variants, None, spec.variant_type, mode)
+        .transform(merge_variants_within, None, spec.variant_type, mode)
         .transform(add_time_columns, CURRENT_DT, TIME_PREFIX)
     )
     return enforce(rows, official_types(spec, rows.columns), mode)

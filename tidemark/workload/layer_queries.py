@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.feeds import CURRENT, CURRENT_DT, DAILY, DATE_PARTITION, HOURLY, WEATHER_TIME, FeedSpec
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_mark, raw_to_clean
+from tidemark.sources.documents import landed
 from tidemark.sources.layers import Layer, Table, read_layer
 from tidemark.sources.readers import read_raw
 from tidemark.sources.staging import staging_path
@@ -174,3 +176,114 @@ def _stream_analytic_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_layer(again, analytic, staging_path(spark, "progress")).awaitTermination()
     stored = read_layer(spark, analytic)
     return without_zone(stored.withColumn("current_weather_more", F.to_json("current_weather_more")))
+
+
+# --- Documents beyond the declared schema -------------------------------------------------------
+
+
+def _json_lines(spark: SparkSession, spec: FeedSpec, rows: DataFrame,
+                change: Callable[[DataFrame], DataFrame], spell: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Documents as lines of JSON files, after ``change`` of the documents and ``spell`` of the
+    text. ``k`` is at hand for both."""
+    documents = documents_of(rows).select(*spec.raw_columns, F.expr("current.humidity").alias("k"))
+    text = F.to_json(F.struct(*(F.col(name) for name in spec.raw_columns)))
+    lines = change(documents).select((text if spell is None else spell(text)).alias("value"))
+    path = staging_path(spark, "json-lines")
+    lines.write.text(path)
+    return spark.read.text(path)
+
+
+def _landed(spark: SparkSession, spec: FeedSpec, batches: Sequence[DataFrame]) -> DataFrame:
+    """The clean layer that batches of lines grow to, by a schema that is learnt on the way."""
+    clean, store = staging_path(spark, "clean"), staging_path(spark, "schema") + "/raw.json"
+    for lines in batches:
+        with landed(lines, DOCUMENT_SCHEMA, store) as batch:
+            run_raw_to_clean(batch.documents, clean, [spec], overwrite="touched", compacted=True)
+    return without_zone(read_layer(spark, layer_path(clean, spec)))
+
+
+@registry.add(
+    "json_scan_unknown_fields",
+    clean_sql("daily", columns="""
+        v * 0.75 * 2 AS daily_weather_forecast_wind_speed,
+        v + i + 1 AS daily_weather_forecast_temp_max,
+        CASE WHEN k % 2 = 0 THEN 'a' || k END AS daily_weather_forecast_summary"""),
+)
+def _json_scan_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the documented schema does not have, on two levels, some in half of the rows."""
+
+    def more(day: Column) -> Column:
+        day = day.withField("wind_speed", day["rain"] * 2).withField("temp.max", day["temp"]["day"] + 1)
+        return day.withField("summary", F.when(F.col("k") % 2 == 0, F.concat(F.lit("a"), F.col("k"))))
+
+    lines = _json_lines(spark, DAILY, events(spark, sf_dir), lambda df: df.withColumn("daily", F.transform("daily", more)))
+    return _landed(spark, DAILY, [lines])
+
+
+@registry.add("json_scan_mixed_numbers", clean_sql("current"))
+def _json_scan_mixed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers spelled with a fraction of zero or as text, in some of the documents."""
+
+    def spell(text: Column) -> Column:
+        text = F.when(F.col("k") % 2 == 0, F.regexp_replace(text, r'"(dt|pressure)":(-?\d+)', r'"$1":$2.0')).otherwise(text)
+        return F.when(F.col("k") % 3 == 0, F.regexp_replace(text, r'"(humidity|wind_deg)":(-?\d+)', r'"$1":"$2"')).otherwise(text)
+
+    return _landed(spark, CURRENT, [_json_lines(spark, CURRENT, events(spark, sf_dir), lambda df: df, spell)])
+
+
+_DAY, _MORE = "daily_weather_forecast_temp_day", "daily_weather_forecast_weather_more"
+_OTHERS = ", ".join(f'"daily_weather_forecast_weather[{i}]_{name}"' for i in (1, 2) for name in ("id", "main", "description", "icon"))
+
+
+def _condition_sql(i: int) -> str:
+    own = f'"daily_weather_forecast_weather[{i}]_'
+    return f"""'{{"id":' || CAST({own}id" AS DOUBLE) || ',"main":"' || {own}main" || '","description":"' || {own}description" || '","icon":"' || {own}icon" || '"}}'"""
+
+
+@registry.add(
+    "json_scan_nested_variants",
+    f"""
+    SELECT * EXCLUDE ({_DAY}, day, filled, {_OTHERS}), day AS {_DAY},
+           CASE WHEN filled THEN '[' || concat_ws(',', {_condition_sql(1)}, {_condition_sql(2)}) || ']' END AS {_MORE}
+    FROM ({clean_sql("daily", columns="CASE WHEN k % 2 = 1 THEN v + i ELSE CAST(k AS DOUBLE) END AS day, k % 7 <> 1 AS filled")})
+    """,
+)
+def _json_scan_nested_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants below a struct, and within an array that stays one."""
+
+    def vary(day: Column) -> Column:
+        odd = F.col("k") % 2 == 1
+        day = day.withField("temp.day", F.struct(F.when(~odd, F.col("k")).alias("int"), F.when(odd, day["temp"]["day"]).alias("double")))
+
+        def numbered(weather: Column) -> Column:
+            number = F.struct(F.when(odd, weather["id"]).alias("int"), F.when(~odd, weather["id"] + F.lit(0.0)).alias("double"))
+            return weather.withField("id", number)
+
+        return day.withField("weather", F.transform(day["weather"], numbered))
+
+    lines = _json_lines(spark, DAILY, events(spark, sf_dir), lambda df: df.withColumn("daily", F.transform("daily", vary)))
+    rows = _landed(spark, replace(DAILY, weather_width=1), [lines])
+    names = [f for f in rows.schema[_MORE].dataType.elementType.names]
+    ordered = F.transform(_MORE, lambda w: F.struct(*(w[name].alias(name) for name in ("id", "main", "description", "icon") if name in names)))
+    return rows.withColumn(_MORE, F.to_json(ordered))
+
+
+@registry.add(
+    "json_scan_growing_schema",
+    clean_sql("current", columns="""
+        CASE WHEN k % 2 = 0 THEN v * 0.5 END AS current_rain_1h,
+        CASE WHEN k % 2 = 1 THEN k + 1 END AS current_snow_depth"""),
+)
+def _json_scan_growing_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, each with a field that the other lacks; the layer has both."""
+
+    def rain(df: DataFrame) -> DataFrame:
+        return df.withColumn("current", F.col("current").withField("rain", F.struct((F.col("current.dew_point")).alias("1h"))))
+
+    def snow(df: DataFrame) -> DataFrame:
+        return df.withColumn("current", F.col("current").withField("snow", F.struct((F.col("k") + 1).alias("depth"))))
+
+    rows = events(spark, sf_dir)
+    batches = [_json_lines(spark, CURRENT, rows.where("k % 2 = 0"), rain), _json_lines(spark, CURRENT, rows.where("k % 2 = 1"), snow)]
+    layer = _landed(spark, CURRENT, batches)
+    return layer.withColumn("current_snow_depth", F.col("current_snow_depth").cast("int"))
