@@ -5,6 +5,7 @@ Everything here works inside one task, on one batch or one bounded group."""
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import struct
 from collections.abc import Iterator, Sequence
 
@@ -20,6 +21,9 @@ _ODD = 0x9E3779B97F4A7C15
 #: Units (bytes or words) that are hashed at a time.
 CHUNK = 1 << 18
 
+#: Bytes of a word from which on it has a digest of its own.
+LONG_WORD = 64
+
 #: Arrays from this size on go back to the system when they are freed. The C library would raise
 #: the limit to 32 MiB by itself, and workers, which live on, keep what their largest task took.
 _RETURNED, _M_MMAP_THRESHOLD = 4 << 20, -3
@@ -143,7 +147,11 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each word's bytes. Long texts are hashed piece by piece."""
+    """A 64-bit value for each word's bytes. Long texts are hashed piece by piece.
+
+    Sums of powers modulo 2**64 agree for some pairs of long sequences whatever the base is (those
+    of Thue and Morse, from 1024 letters on), so words beyond ``LONG_WORD`` bytes have a
+    cryptographic digest instead."""
     values = np.empty(starts.size, dtype=np.uint64)
     at = 0
     while at < starts.size:
@@ -152,6 +160,9 @@ def word_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         hashes = Hashes(BYTE_VALUES[data[base : ends[to - 1]]])
         values[at:to] = hashes.of(starts[at:to] - base, ends[at:to] - base)
         at = to
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        digest = hashlib.blake2b(memoryview(data[starts[i] : ends[i]]), digest_size=8).digest()
+        values[i] = int.from_bytes(digest, "little")
     return values
 
 
