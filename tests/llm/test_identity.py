@@ -1,0 +1,54 @@
+"""Words, ids and rows that must not be taken for each other."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import neardup, phrases, texts
+
+PASSAGE = " ".join(f"word{i}" for i in range(60))
+
+
+def thue_morse(length, flip=False):
+    """Two words of this length over two letters, whose sums of powers modulo 2**64 agree."""
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(length))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_values_of_long_words_differ(length):
+    data = np.frombuffer(f"{thue_morse(length)} {thue_morse(length, True)} {thue_morse(length)}".encode(), np.uint8)
+    starts, ends, _ = texts.words(data, np.array([0, data.size]))
+    one, other, again = texts.word_values(data, starts, ends)
+    assert one != other and one == again
+
+
+def test_texts_that_differ_in_a_long_word(spark):
+    words = PASSAGE.split()
+    rows = [(i, " ".join([*words[:30], thue_morse(2048, flip), *words[30:]])) for i, flip in ((1, False), (2, True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["n_removed"] for r in phrases.remove_passages(docs).collect()} == {0}
+    short = spark.createDataFrame([(i, f"a b {thue_morse(2048, flip)}") for i, flip in ((1, False), (2, True))], "doc_id long, text string")
+    assert all(r["kept"] for r in neardup.near_duplicates(short).collect())
+
+
+def groups(df):
+    return {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in neardup.near_duplicates(df).collect()}
+
+
+def test_links_of_every_text_under_an_id(spark):
+    a, b = (" ".join(f"{letter}{i}" for i in range(80)) for letter in "ab")
+    rows = [(1, a), (1, b), (2, a + " t"), (3, b + " t"), (4, "alone in here"), (7, "other words"), (7, "alone in here")]
+    for some in (rows, rows[::-1]):
+        found = groups(spark.createDataFrame(some, "doc_id long, text string").repartition(3))
+        assert {component for (i, _), component in found.items() if i < 4} == {1}
+        assert {component for (i, _), component in found.items() if i > 3} == {4}
+
+
+def test_an_id_that_many_texts_have(spark):
+    """Half of all rows have one id; texts of that id and its near copies are one group."""
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id") + 10).alias("doc_id"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.concat(F.lit("w"), F.floor(F.col("id") / 2), F.lit("x"), i)),
+                    F.when(F.col("id") % 2 == 1, F.lit("tail"))).alias("text"))
+    found = neardup.near_duplicates(rows)
+    assert {r[0] for r in found.select("component_id").distinct().collect()} == {5} and found.count() == 400

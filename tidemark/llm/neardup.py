@@ -97,8 +97,8 @@ def _together(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``set`` (a digest of all shingles), ``n_shingles``, and for one row of each set
-    in a batch its bands' hashes and a byte of every register."""
+    """``doc_id``, ``key``, ``set`` (a digest of all shingles), ``n_shingles``, and for one row of
+    each set in a batch its bands' hashes and a byte of every register."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches):
@@ -122,10 +122,10 @@ def _described(docs: DataFrame) -> DataFrame:
                 for place, i in enumerate(first):
                     bands[i], sketch[i] = keys[place].tobytes(), short[place].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.binary()), pa.array(sketch, pa.binary())],
-                ["doc_id", "set", "n_shingles", "bands", "sketch"])
+                [rows.column(0), rows.column(2), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(bands, pa.binary()), pa.array(sketch, pa.binary())],
+                ["doc_id", "key", "set", "n_shingles", "bands", "sketch"])
 
-    schema = "doc_id long, set binary, n_shingles long, bands binary, sketch binary"
+    schema = "doc_id long, key long, set binary, n_shingles long, bands binary, sketch binary"
     return docs.mapInArrow(run, schema)
 
 
@@ -242,7 +242,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Returns ``doc_id, n_shingles, component_id, kept``, a row for a row; ``component_id`` is the
     smallest id of the group and ``kept`` whether it is the row's own. Texts that are NULL, empty
     or without words have no shingles and are alone; a NULL id takes no part, has a NULL
-    component and is kept; rows of one id are one document.
+    component and is kept; rows of one id are one document, linked by what any of its texts is
+    linked with.
 
     Texts with equal sets are one class, found by digest. Classes that share a band of their
     signatures, and agree in enough of it, are joined to families by union-find; a pair at the
@@ -250,35 +251,49 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     family the full sets are compared until all are linked or told apart. Neither step makes all
     pairs: who is linked is not compared again. Buckets and families too large for a task are
     cut into pieces and every pair of pieces is compared."""
-    docs = cut(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = cut(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("key", F.xxhash64("text"))
     described = kept(_described(docs), "described")
+    # Sets are what is linked, each by a number of its own and by the place of one of its texts.
     sets = kept(
         described.where(F.col("doc_id").isNotNull() & F.col("set").isNotNull())
-        .groupBy("set").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("bands").alias("bands"), F.max("sketch").alias("sketch")),
+        .groupBy("set").agg(F.min(F.struct("doc_id", "key")).alias("at"), F.max("n_shingles").alias("n_shingles"), F.max("bands").alias("bands"), F.max("sketch").alias("sketch"))
+        .select(F.monotonically_increasing_id().alias("rep"), "set", "at.doc_id", "at.key", "n_shingles", "bands", "sketch"),
         "sets")
     keys = _bands(sets)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    # A document may have several sets under one id; its rows are one node all the same.
-    members = keys.join(shared, "key").join(sets.groupBy("rep").agg(F.max("sketch").alias("sketch")), "rep")
+    members = keys.join(shared, "key").join(sets.select("rep", "sketch"), "rep")
     members = kept(_in_pieces(members, F.ceil(F.col("members") / MEMBERS), "rep"), "members")
     buckets = parts(members.count(), 5_000, least=96)
     place = F.pmod(F.xxhash64("key", "left", "right"), F.lit(buckets))
     likely = members.withColumn("bucket", place).groupBy("bucket").applyInArrow(_likely, "a long, b long")
     families = components(likely, "families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
 
-    wanted = families.join(sets.select("rep", "set", "n_shingles"), "rep")
+    wanted = families.join(sets.select("rep", "set", "doc_id", "key", "n_shingles"), "rep")
     weights = wanted.groupBy("family").agg(F.ceil(F.sum("n_shingles") / SHINGLES).alias("pieces"))
-    wanted = wanted.join(weights, "family").select(F.col("rep").alias("doc_id"), "set", "family", "pieces")
-    full = _shingles(docs.join(wanted, "doc_id").select("doc_id", "text", "set", "family", "pieces"))
+    wanted = wanted.join(weights, "family").select("doc_id", "key", "rep", "set", "family", "pieces")
+    full = _shingles(docs.join(wanted, ["doc_id", "key"]).select("rep", "text", "set", "family", "pieces"))
     full = kept(_in_pieces(full, F.col("pieces"), "rep"), "shingles")
     amount = full.agg(F.sum(F.octet_length("shingles").cast("long"))).first()[0] or 0
     place = F.pmod(F.xxhash64("family", "left", "right"), F.lit(parts(amount, 6 << 20, least=96)))
     links = full.withColumn("bucket", place).groupBy("bucket").applyInArrow(_verified, "a long, b long")
-    grouped = components(links, "links")
+    grouped = components(links.select("a", "b").union(_of_one_id(described, sets)), "links")
 
-    named = sets.select("set", "rep").join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = named.select("set", F.coalesce("component", "rep").alias("component_id"))
+    # The number of a group is the smallest id of its sets.
+    placed = sets.select("rep", "set", "doc_id").join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = placed.join(least, "component").select("set", "component_id")
     rows = described.select("doc_id", "set", "n_shingles").join(named, "set", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _of_one_id(described: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the sets of documents that have several under one id: each to the least. The
+    ids are counted first, so that only theirs are joined."""
+    owners = described.where(F.col("doc_id").isNotNull() & F.col("set").isNotNull()).select("doc_id", "set")
+    several = owners.groupBy("doc_id").agg(F.min("set").alias("one"), F.max("set").alias("other")).where(F.col("one") < F.col("other"))
+    own = owners.join(several.select("doc_id"), "doc_id").distinct().join(sets.select("rep", "set"), "set").select("doc_id", "rep")
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return own.join(least, "doc_id").where(F.col("rep") != F.col("a")).select("a", F.col("rep").alias("b"))
