@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import zlib
 from array import array
@@ -33,6 +34,33 @@ def _byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
+def added(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """The tokens that a ``tokenizers`` file adds to its model, special ones among them: the
+    library takes them out of a text, the leftmost and of these the longest first, before the
+    model sees what is between. A pattern that finds them (None for none), and their ids."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    if any(token.get(flag) for token in tokens for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError(f"{path}: added tokens that take in their surroundings are not supported")
+    ids = {token["content"]: token["id"] for token in tokens if token["content"]}
+    longest = sorted(ids, key=len, reverse=True)
+    return (re.compile("|".join(map(re.escape, longest))) if longest else None), ids
+
+
+def ids_of(text: str, path: str, pattern: str) -> list[int]:
+    """Ids of a whole text, as the library's ``encode`` gives them without special tokens around."""
+    own, (special, numbers) = codec(path, pattern), added(path)
+    if special is None:
+        return encode_text(own, text)
+    ids, at = [], 0
+    for found in special.finditer(text):
+        ids += encode_text(own, text[at : found.start()])
+        ids.append(numbers[found[0]])
+        at = found.end()
+    return ids + encode_text(own, text[at:]) if at else encode_text(own, text)
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` file, as ranks: the same ids several times as
@@ -55,12 +83,11 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id: int
     so that all others fill a sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
         for batch in batches:
             row, out = [], [array("q") for _ in range(4)]
             for first in range(0, batch.num_rows, 256):
                 for i, text in enumerate(batch.column(1).slice(first, 256).to_pylist(), first):
-                    ids = array("I", encode_text(own, text or ""))
+                    ids = array("I", ids_of(text or "", path, pattern))
                     ids.append(end_id)
                     if sys.byteorder == "big":
                         ids.byteswap()
