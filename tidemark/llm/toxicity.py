@@ -20,11 +20,11 @@ from tidemark.llm.texts import BYTE_VALUES, Batch, Hashes, sliced, words
 
 @dataclass(frozen=True)
 class Settings:
-    """How a model learns. ``bound`` is the most labelled rows it learns from, ``terms`` the
-    most tokens it knows, those of the surest evidence."""
+    """How a model learns. ``bound`` is the most labelled texts it learns from, ``size`` the most
+    bytes of these. They bound the tokens it knows, none of which is left out."""
 
     bound: int = 20000
-    terms: int = 1 << 16
+    size: int = 1 << 28
     #: Weight of the prior against the counts, and standard errors a token must stand out by.
     prior: float = 0.1
     sure: float = 3.0
@@ -95,8 +95,8 @@ def _presence(texts: DataFrame) -> DataFrame:
 
 
 def _lexicon(counts: DataFrame, settings: Settings) -> list:
-    """Tokens whose log-odds, under a Dirichlet prior in proportion to the whole corpus, are
-    surely above zero, the surest first."""
+    """All tokens whose log-odds, under a Dirichlet prior in proportion to the whole corpus, are
+    surely above zero. A bounded sample has a bounded number of them."""
     totals = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     toxic, clean = totals["t"] or 0, totals["c"] or 0
     if not toxic or not clean:
@@ -106,7 +106,7 @@ def _lexicon(counts: DataFrame, settings: Settings) -> list:
     one, other = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(one / (toxic + weight - one)) - F.log(other / (clean + weight - other))
     scored = counts.select("token", "clean", odds.alias("odds"), (odds / F.sqrt(1 / one + 1 / other)).alias("sure"))
-    return scored.where(F.col("sure") >= settings.sure).orderBy(F.desc("sure"), "token").limit(settings.terms).collect()
+    return scored.where(F.col("sure") >= settings.sure).collect()
 
 
 def segments(places: list[int], odds: list[float], drift: float) -> list[tuple[int, int, float]]:
@@ -115,22 +115,23 @@ def segments(places: list[int], odds: list[float], drift: float) -> list[tuple[i
     ``places`` are the tokens with ``odds`` above zero; all others score ``drift``. Each such
     token opens a segment; one whose running total is beaten on its left and beats it on its
     right is merged with what lies between."""
-    found: list[tuple[int, int, float, float]] = []  # start, end, total before, total after
+    # start, end, total before, total after, and the nearest segment before with a lower total
+    # before it (-1 for none). Segments that such a link passes over can never be looked for again.
+    found: list[tuple[int, int, float, float, int]] = []
     total, last = 0.0, -1
     for place, value in zip(places, odds, strict=True):
         total += drift * (place - last - 1)
         start, end, left, right = place, place + 1, total, total + value
         total, last = right, place
-        while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= left:
-                k -= 1
-            if k < 0 or found[k][3] >= right:
-                break
-            start, left = found[k][0], found[k][2]
-            del found[k:]
-        found.append((start, end, left, right))
-    return [(start, end, right - left) for start, end, left, right in found]
+        lower = len(found) - 1
+        while lower >= 0 and found[lower][2] >= left:
+            lower = found[lower][4]
+        while lower >= 0 and found[lower][3] < right:
+            start, left, further = found[lower][0], found[lower][2], found[lower][4]
+            del found[lower:]
+            lower = further
+        found.append((start, end, left, right, lower))
+    return [(start, end, right - left) for start, end, left, right, _ in found]
 
 
 def _evidence(batch: Batch, model: Model, drift: float) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
@@ -191,11 +192,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings = Settings()) -> Model:
-    """A model from at most ``settings.bound`` labelled rows that ``learn`` holds for. Tokens are
-    counted by texts, not occurrences, so that one text cannot vouch for its own. At most
-    ``settings.terms`` tokens and one number for each labelled row come to the driver. Without
+    """A model from at most ``settings.bound`` labelled texts that ``learn`` holds for. Tokens are
+    counted by texts, not occurrences, so that one text cannot vouch for its own. The tokens that
+    tell, and two numbers for each labelled text, come to the driver; the sample bounds both. Without
     toxic or without clean rows all scores are the share of toxic ones."""
-    texts = sample(docs, labels, label, learn, settings.bound)
+    texts = sample(docs, labels, label, learn, settings.bound, settings.size)
     counts = _presence(texts)
     rows = sorted(_lexicon(counts, settings), key=lambda row: row["token"] & (2**64 - 1))
     keys = np.array([row["token"] for row in rows], dtype=np.int64).view(np.uint64)
