@@ -1,11 +1,18 @@
 """Words, ids and rows that must not be taken for each other."""
 
+import time
+import zlib
+
 import numpy as np
+import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, phrases, texts
+from tidemark.llm import neardup, packing, phrases, texts, toxicity
+from tidemark.llm.labelled import sample
 
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 PASSAGE = " ".join(f"word{i}" for i in range(60))
 
 
@@ -52,3 +59,72 @@ def test_an_id_that_many_texts_have(spark):
                     F.when(F.col("id") % 2 == 1, F.lit("tail"))).alias("text"))
     found = neardup.near_duplicates(rows)
     assert {r[0] for r in found.select("component_id").distinct().collect()} == {5} and found.count() == 400
+
+
+# --- Tokens that a vocabulary adds ---------------------------------------------------------------
+
+
+def test_added_tokens_are_taken_as_the_library_does():
+    library = tokenizers.Tokenizer.from_file(JSON)
+    for text in ("hello <|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|> a", "a<|endoftext|>", "<|endoftex", "", "a  <|endoftext|>\n b" * 20_000):
+        assert packing.ids_of(text, JSON, public_tokenizers.PATTERN) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_added_tokens(spark):
+    docs = spark.createDataFrame([(1, "hello <|endoftext|> x")], "doc_id long, text string")
+    row = packing.pack(docs, JSON, public_tokenizers.PATTERN).first()
+    ids = tokenizers.Tokenizer.from_file(JSON).encode("hello <|endoftext|> x", add_special_tokens=False).ids
+    assert 50256 in ids and row["length"] == len(ids) + 1
+    assert row["ids_crc32"] == zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes())
+
+
+# --- What classifiers learn from -----------------------------------------------------------------
+
+
+def test_sample_bounds_texts_not_ids(spark):
+    docs = spark.range(500).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 100).alias("text"))
+    docs = docs.union(spark.sql("SELECT 2L, 'other'")).union(spark.sql("SELECT 2L, 'other'")).union(spark.sql("SELECT 3L, repeat('x', 100)"))
+    labels = spark.sql("SELECT * FROM VALUES (1L, 1), (2L, 0), (3L, 1), (NULL, 1) AS t(doc_id, toxic)")
+    assert sample(docs, labels, "toxic", F.lit(True), 2, 1 << 20).count() == 2
+    assert sample(docs, labels, "toxic", F.lit(True), 1000, 1 << 20).count() == 102
+    assert sample(docs, labels, "toxic", F.lit(True), 1000, 6400).where("doc_id = 3").count() == 1
+    assert sample(docs, labels, "toxic", F.lit(True), 1000, 6300).where("doc_id = 3").count() == 0
+    sizes = sample(docs, labels, "toxic", F.lit(True), 1000, 320).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    assert sizes <= 320
+
+
+def plain_segments(scores):
+    """All maximal segments by their definition: the best one, then those to its left and right."""
+    def within(low, high):
+        total = np.r_[0, np.cumsum(scores[low:high])]
+        best = max(((total[b] - total[a], a - b, a) for a in range(high - low) for b in range(a + 1, high - low + 1)), default=(0, 0, 0))
+        if best[0] <= 1e-12:
+            return []
+        a, b = low + best[2], low + best[2] - best[1]
+        return [*within(low, a), (a, b, best[0]), *within(b, high)]
+    return within(0, len(scores))
+
+
+def test_all_maximal_segments():
+    random = np.random.default_rng(4)
+    for drift in (-0.25, -1.0):
+        for _ in range(150):
+            places = np.flatnonzero(random.random(40) < random.choice([0.1, 0.4, 0.8]))
+            odds = random.random(places.size) * 2 + 0.05
+            scores = np.full(40, drift)
+            scores[places] = odds
+            found, wanted = toxicity.segments(places.tolist(), odds.tolist(), drift), plain_segments(scores)
+            assert [s[:2] for s in found] == [s[:2] for s in wanted]
+            assert [s[2] for s in found] == pytest.approx([s[2] for s in wanted])
+
+
+@pytest.mark.parametrize("gap", [1, 3, 40])
+def test_segments_take_linear_time(gap):
+    def seconds(n):
+        places, odds = list(range(0, n * gap, gap)), [0.3 + (i * 7 % 11) / 40 for i in range(n)]
+        start = time.perf_counter()
+        toxicity.segments(places, odds, -0.25)
+        return time.perf_counter() - start
+
+    few, many = min(seconds(20_000) for _ in range(3)), min(seconds(80_000) for _ in range(3))
+    assert many < 12 * few and many < 2

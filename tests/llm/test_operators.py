@@ -158,7 +158,6 @@ def test_packing(request, table):
     docs = request.getfixturevalue(table)
     placed = packing.pack(docs, JSON, public_tokenizers.PATTERN, capacity=2048).toPandas()
     library = tokenizers.Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     wanted, total = Counter(), 0
     for i, text in plain(docs):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut
@@ -13,16 +13,28 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % folds
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int) -> DataFrame:
-    """Texts with their ``label``, of at most ``bound`` of the labelled rows that ``learn``
-    holds for, chosen by a hash of the id. A document labelled twice counts once, as the larger
-    label; NULL ids and labels take no part. The ids are few enough to be broadcast."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int, size: int) -> DataFrame:
+    """``doc_id, text, label`` of at most ``bound`` of the labelled texts that ``learn`` holds for,
+    and of at most ``size`` bytes in all, chosen by a hash of the id. A document labelled twice
+    counts once, as the larger label; rows that repeat an id and its text count once; the texts of
+    one id are texts of their own. NULL ids and labels take no part, nor do texts of more than a
+    64th of all bytes.
+
+    The ids, and the texts' hashes and sizes that the bounds are applied to, are few enough to be
+    broadcast; texts are read once more then."""
     chosen = (
         cut(labels, doc_id="doc_id", label=label).dropna().where(learn & F.col("label").isin(0, 1))
         .groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
-    return cut(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    own = cut(docs, doc_id="doc_id", text="text").withColumn("key", F.xxhash64("text"))
+    held = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "key", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("key")]
+    first = held.where(F.col("size") <= size // 64).distinct().orderBy(*order).limit(bound)
+    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # of ``bound`` rows at most
+    picked = first.withColumn("upto", F.sum(F.col("size").cast("long")).over(upto)).where(F.col("upto") <= size)
+    texts = own.join(F.broadcast(picked.select("doc_id", "key", "label")), ["doc_id", "key"])
+    return texts.dropDuplicates(["doc_id", "key"]).select("doc_id", "text", "label")
 
 
 def judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:

@@ -17,9 +17,11 @@ from tidemark.llm.texts import BYTE_VALUES, WHITE, Batch, Hashes, mix, pack, sli
 
 @dataclass(frozen=True)
 class Settings:
-    """What a model is and how it learns. ``bound`` is the most labelled rows it learns from."""
+    """What a model is and how it learns. ``bound`` is the most labelled texts it learns from,
+    ``size`` the most bytes of these."""
 
     bound: int = 8000
+    size: int = 1 << 27
     buckets: int = 1 << 18
     grams: tuple[int, ...] = (3, 4, 5)
     dim: int = 8
@@ -107,12 +109,12 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings = Settings()) -> tuple[np.ndarray, float]:
-    """A model from at most ``settings.bound`` labelled rows that ``learn`` holds for.
+    """A model from at most ``settings.bound`` labelled texts that ``learn`` holds for.
 
     Features are found where the texts are; one task learns from them, as their number is
     bounded, and only the model, ``buckets`` floats, comes to the driver. Without any example
     every score is one half."""
-    examples = _examples(sample(docs, labels, label, learn, settings.bound), settings)
+    examples = _examples(sample(docs, labels, label, learn, settings.bound, settings.size), settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True)]
