@@ -2,6 +2,7 @@
 
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, packing, phrases, texts, toxicity
+from tidemark.llm import neardup, neighbours, packing, phrases, texts, toxicity
 from tidemark.llm.labelled import sample
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -128,3 +129,43 @@ def test_segments_take_linear_time(gap):
 
     few, many = min(seconds(20_000) for _ in range(3)), min(seconds(80_000) for _ in range(3))
     assert many < 12 * few and many < 2
+
+
+# --- Rows that share ids or vectors --------------------------------------------------------------
+
+
+def test_every_row_is_a_candidate(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 40)
+    monkeypatch.setattr(neighbours, "BLOCK", 6)
+    monkeypatch.setattr(neighbours, "LEAF", 8)
+    random = np.random.default_rng(6)
+    rows = [(1, [1.0, 0.0]), (1, [5.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [9.0, 9.0]), (3, None), (4, [0.0, 0.0]), (5, []), (6, [float("nan"), 1.0])]
+    rows += [(i % 90 + 10, [float(c) for c in random.normal(size=2)]) for i in range(150)]
+    rows += [(i, [float(c) for c in random.normal(size=3)]) for i in range(200, 230)] + [(400, [1.0] * 7)]
+    asked = lambda i: i % 2 == 0 or i == 1
+    good = [(i, np.array(v)) for i, v in rows if i is not None and v and np.isfinite(v).all() and any(v)]
+    wanted = Counter()
+    for a, (i, own) in enumerate(good):
+        if asked(i):
+            others = sorted((-np.cumsum(own * v)[-1], j) for b, (j, v) in enumerate(good) if b != a and v.size == own.size)
+            wanted.update((i, rank, j, -score) for rank, (score, j) in enumerate(others[:4], 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({n: F.lit("clash") for n in ("row", "asked", "shard", "rank", "vector", "width")})
+    for some in (df, df.repartition(7)):
+        found = neighbours.nearest(some, (F.col("vec_id") % 2 == 0) | (F.col("vec_id") == 1), 4)
+        assert Counter(map(tuple, found.collect())) == wanted
+
+
+def test_a_shard_has_one_tree_for_its_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 10)
+    df = spark.range(400).select(F.col("id").alias("vec_id"), F.array(F.rand(1), F.rand(2)).alias("embedding"))
+    built = spark.sparkContext.accumulator(0)
+    make = neighbours.Tree
+
+    def counted(*arguments):
+        built.add(1)
+        return make(*arguments)
+
+    monkeypatch.setattr(neighbours, "Tree", counted)
+    assert neighbours.nearest(df, F.col("vec_id") % 10 == 0, 3).count() == 120
+    assert built.value == 4  # four blocks of queries, four shards

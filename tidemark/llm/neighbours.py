@@ -15,6 +15,8 @@ from tidemark.llm.frames import cut, kept
 
 #: Vectors of a shard, queries of a block, and vectors below which a tree is not split.
 SHARD, BLOCK, LEAF = 4096, 512, 128
+#: Blocks that are searched in one tree.
+BLOCKS = 4
 
 
 def _finite(vector: Column) -> Column:
@@ -30,8 +32,9 @@ class Tree:
     longest vector of all shards, ``sqrt(reach**2 - |x|**2)`` is added to a vector and 0 to a
     query. Then the nearest point has the largest inner product."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, reach: float) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, reach: float, rows: np.ndarray | None = None) -> None:
         rest = np.sqrt(np.maximum(reach**2 - np.einsum("ij,ij->i", vectors, vectors), 0))
+        self.rows = ids if rows is None else rows
         self.ids, self.vectors, self.points = ids, vectors, np.column_stack([vectors, rest])
         self.root = self._split(np.arange(ids.size))
 
@@ -50,9 +53,9 @@ class Tree:
         gap = self.points[rows] - point
         return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, query_rows: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the ``k`` points found for each query, and their inner products, the largest
-        first; -1 where there are fewer.
+        first; -1 where there are fewer. Ids settle ties, and a query does not find its own row.
 
         Every query goes down to its own leaf first, which bounds how far its neighbours are.
         Then the tree is searched by all queries at once, each leaving out the branches that its
@@ -78,7 +81,7 @@ class Tree:
                 left, right = np.nonzero(may)
                 scores = np.full(may.shape, -np.inf)
                 scores[left, right] = _products(queries[who[left]], self.vectors[node[right]])
-                scores[query_ids[who][:, None] == self.ids[node][None, :]] = -np.inf
+                scores[query_rows[who][:, None] == self.rows[node][None, :]] = -np.inf
                 every = np.concatenate([best[who], scores], axis=1)
                 named = np.concatenate([rows[who], np.broadcast_to(node, scores.shape)], axis=1)
                 numbers = np.where(named >= 0, self.ids[named], np.iinfo(np.int64).max)
@@ -119,71 +122,78 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.cumsum(left * right, axis=1)[:, -1] if left.shape[1] else np.zeros(left.shape[0])
 
 
-def _packed(df: DataFrame, groups: Column, name: str) -> DataFrame:
-    """Vectors of a group as one row: ``group``, ``ids`` and ``vectors`` as doubles."""
+_PACKED = StructType([StructField("group", IntegerType()), *(StructField(n, BinaryType()) for n in ("rows", "ids", "vectors"))])
+
+
+def _packed(df: DataFrame, groups: int, name: str) -> DataFrame:
+    """Vectors of a group as one row: its number, the numbers of its rows, ids, and vectors as
+    doubles. Rows are dealt by their numbers, so neither ids nor equal vectors make a group large."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids = np.array(table["vec_id"].to_pylist(), dtype=np.int64)
-        flat = table["vector"].combine_chunks()
-        values = np.asarray(flat.flatten().cast(pa.float64()))
-        order = np.argsort(ids, kind="stable")
-        values = values.reshape(ids.size, -1)[order] if ids.size else values
-        return pa.table({"group": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([ids[order].tobytes()], pa.binary()), "vectors": pa.array([values.tobytes()], pa.binary())})
+        rows, ids = (table[c].to_numpy().astype(np.int64) for c in ("row", "vec_id"))
+        order = np.lexsort((rows, ids))
+        values = np.asarray(table["vector"].combine_chunks().flatten().cast(pa.float64())).reshape(ids.size, -1)[order]
+        packed = (rows[order].tobytes(), ids[order].tobytes(), values.tobytes())
+        return pa.table({"group": pa.array([key[0].as_py()], pa.int32()), **{n: pa.array([v], pa.binary()) for n, v in zip(("rows", "ids", "vectors"), packed)}})
+
+    place = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")
+    return df.withColumn("group", place).groupBy("group").applyInArrow(run, _PACKED).withColumnRenamed("group", name)
+
+
+_FOUND = StructType([StructField("query", LongType()), StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
+
+
+def _arrays(table: pa.Table, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for row in table.select(["rows", "ids", "vectors"]).to_pylist():
+        yield np.frombuffer(row["rows"], np.int64), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"]).reshape(-1, width)
+
+
+def _searched(every: DataFrame, asked: DataFrame, rows: int, questions: int, width: int, reach: float, k: int, factor: float) -> DataFrame:
+    """The ``k`` nearest that each shard has for each query, of vectors of one length."""
+    shards, blocks = max(1, math.ceil(rows / SHARD)), max(1, math.ceil(questions / BLOCK))
+    shard = kept(_packed(every, shards, "shard"), "shards")
+    block = kept(_packed(asked, blocks, "block"), "blocks")
+    # Every block meets every shard, which is the search itself. Blocks travel, as they are the
+    # smaller ones; a shard is copied once for some of them, which share its tree.
+    left = shard.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // BLOCKS))))
+    right = block.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("part", F.floor(F.col("block") / BLOCKS).cast("int"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        for numbers, ids, vectors in _arrays(left, width):
+            tree = Tree(ids, vectors, reach, numbers)
+            for queries, query_ids, asked in _arrays(right, width):
+                hits, _ = tree.search(queries, asked, k, factor)
+                own, rank = np.nonzero(hits >= 0)
+                hits = hits[own, rank]
+                found.append((queries[own], query_ids[own], tree.ids[hits], _products(asked[own], tree.vectors[hits])))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        return pa.table([pa.array(c) for c in columns], names=_FOUND.names)
 
-    schema = StructType([StructField("group", IntegerType()), StructField("ids", BinaryType()), StructField("vectors", BinaryType())])
-    grouped = df.withColumn("group", groups.cast("int")).groupBy("group")
-    return grouped.applyInArrow(run, schema).withColumnsRenamed({"group": name, "ids": f"{name}_ids", "vectors": f"{name}_vectors"})
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, _FOUND)
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int, factor: float = 1.0, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """The ``k`` nearest by inner product of every vector that ``queries`` holds for, among all
-    other vectors: ``query_id, rank, vec_id, score``, ties to the smaller id.
-
-    Vectors are hashed to shards of about ``SHARD`` and queries to blocks of about ``BLOCK``; a
-    task builds a shard's tree and searches a block in it. Each pair of them yields ``k`` rows a
-    query at most, ranked once more over all shards. Nothing is gathered beyond a shard. With
-    ``factor=1`` results are exact.
-
-    NULL ids, and vectors that are NULL, zero or hold NULL or non-finite components, take no
-    part, nor do vectors of another length than the most common. A row repeated is one more candidate
-    under the same id, and counts once; a query does not find its own id."""
-    every = cut(vectors, vec_id=vec_id, vector=embedding).select("vec_id", F.col("vector").cast("array<double>").alias("vector"))
-    every = every.where(F.col("vec_id").isNotNull() & _finite(F.col("vector"))).withColumn("width", F.size("vector"))
-    widths = every.groupBy("width").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "width").limit(1).collect()
-    schema = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
-    if not widths:
-        return every.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1)).select("query_id", "rank", "vec_id", "score")
-    width, rows = widths[0]
-    every = every.where(F.col("width") == width).drop("width").dropDuplicates(["vec_id"])
+    other rows: ``query_id, rank, vec_id, score``, ties to the smaller id.
+
+    Vectors are numbered and dealt by their numbers to shards of about ``SHARD``, queries to blocks
+    of about ``BLOCK``; a task builds a shard's tree and searches some blocks in it. Each pair of
+    them yields ``k`` rows a query at most, ranked once more over all shards. Nothing is gathered
+    beyond a shard and some blocks. With ``factor=1`` results are exact.
+
+    NULL ids, and vectors that are NULL, empty, zero or hold NULL or non-finite components, take no
+    part. Every other row is a query and a candidate of its own, whatever ids and vectors repeat: it
+    does not find itself, but others of its id. Vectors meet those of their own length, as there is
+    no product with others. An empty table gives no rows; other columns are left behind."""
+    every = cut(vectors.withColumn("asked here", F.coalesce(queries, F.lit(False))), vec_id=vec_id, vector=embedding, asked="asked here")
+    every = every.withColumn("vector", F.col("vector").cast("array<double>")).where(F.col("vec_id").isNotNull() & _finite(F.col("vector")))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
-    reach = every.agg(F.max(norm)).first()[0]
-    shards = max(1, math.ceil(rows / SHARD))
-    asked = every.where(queries)
-    blocks = max(1, math.ceil(asked.count() / BLOCK))
-    place = F.xxhash64("vec_id")
-    shard = kept(_packed(every, F.pmod(place, F.lit(shards)), "shard"), "shards")
-    block = kept(_packed(asked, F.pmod(place, F.lit(blocks)), "block"), "blocks")
-    # Every block meets every shard, which is the search itself: an equi-join on the pair.
-    left = shard.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = left.repartition(max(12, min(shards * blocks, 4096)), "shard", "block").join(block, "block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[int, Tree] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["shard"] not in trees:
-                    ids = np.frombuffer(row["shard_ids"], dtype=np.int64)
-                    trees = {row["shard"]: Tree(ids, np.frombuffer(row["shard_vectors"]).reshape(-1, width), reach)}
-                tree = trees[row["shard"]]
-                asked_ids = np.frombuffer(row["block_ids"], dtype=np.int64)
-                asked_vectors = np.frombuffer(row["block_vectors"]).reshape(-1, width)
-                found, _ = tree.search(asked_ids, asked_vectors, k, factor)
-                own, rank = np.nonzero(found >= 0)
-                hits = found[own, rank]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(asked_ids[own]), pa.array(tree.ids[hits]), pa.array(_products(asked_vectors[own], tree.vectors[hits]))],
-                    ["query_id", "vec_id", "score"])
-
-    found = pairs.mapInArrow(run, schema)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    every = kept(every.withColumn("row", F.monotonically_increasing_id()).withColumn("width", F.size("vector")), "vectors")
+    sizes = every.groupBy("width").agg(F.count(F.lit(1)).alias("rows"), F.count_if("asked").alias("asked"), F.max(norm).alias("reach")).collect()
+    found = every.sparkSession.createDataFrame([], _FOUND)
+    for size in sorted(sizes):
+        own = every.where(F.col("width") == size["width"])
+        found = found.union(_searched(own, own.where("asked"), size["rows"], size["asked"], size["width"], size["reach"], k, factor))
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
