@@ -10,7 +10,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, neighbours, packing, phrases, texts, toxicity
+from tidemark.llm import neardup, neighbours, packing, phrases, streams, texts, toxicity
 from tidemark.llm.labelled import sample
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -169,3 +169,34 @@ def test_a_shard_has_one_tree_for_its_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "Tree", counted)
     assert neighbours.nearest(df, F.col("vec_id") % 10 == 0, 3).count() == 120
     assert built.value == 4  # four blocks of queries, four shards
+
+
+# --- State that is kept between loads ------------------------------------------------------------
+
+
+def test_loads_against_a_kept_state(spark, tmp_path):
+    first = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c"), (4, None)], "doc_id long, text string")
+    second = spark.createDataFrame([(5, "a  b  "), (6, "new"), (7, "n ew"), (8, " "), (6, "new")], "doc_id long, text string").withColumn("load", F.lit("clash"))
+    third = spark.createDataFrame([(9, "ab"), (10, "new"), (11, "c c")], "doc_id long, text string")
+
+    def judged(df):
+        return Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in df.collect())
+
+    state = str(tmp_path / "state")
+    for digest in (streams.sha256, lambda bare: F.substring(streams.sha256(bare), 1, 64)):
+        state += "x"
+        assert judged(streams.deduplicate_new(first, None, state, digest=digest)) == Counter(
+            [(1, 1, 2, True), (2, 1, 2, False), (3, 3, 1, True), (4, 4, 1, True)])
+        assert judged(streams.deduplicate_new(second, first, state, digest=digest)) == Counter(
+            [(5, 1, 3, False), (6, 7, 3, False), (6, 7, 3, False), (7, 7, 3, True), (8, 4, 2, False)])
+        both = first.union(second.drop("load"))
+        assert judged(streams.deduplicate_new(third, both, state, digest=digest)) == Counter(
+            [(9, 1, 4, False), (10, 7, 4, False), (11, 11, 1, True)])
+
+
+def test_texts_that_share_a_digest_with_a_kept_one(spark, tmp_path):
+    load = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    state, length = str(tmp_path / "state"), lambda bare: F.length(bare).cast("string")
+    streams.deduplicate_new(load((1, "ab")), None, state, digest=length).count()
+    found = streams.deduplicate_new(load((2, "cd"), (3, "a b"), (4, "cd")), load((1, "ab")), state, digest=length)
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in found.collect()} == {(2, 2, True), (3, 1, False), (4, 2, False)}

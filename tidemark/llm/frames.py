@@ -49,6 +49,12 @@ def noting(paths: list[str]):
         _noted.pop()
 
 
+def note(path: str) -> None:
+    """Add a folder to the tables of the block it is made in."""
+    if _noted:
+        _noted[-1].append(path)
+
+
 def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once to the folder all executors share, and read back.
 
@@ -57,8 +63,7 @@ def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     ``spark.checkpoint.dir`` and lasts as long as the frames that read it may."""
     spark = df.sparkSession
     path = path or staging_path(spark, name)
-    if _noted:
-        _noted[-1].append(path)
+    note(path)
     writer = df.write.mode("errorifexists").option("compression", "none" if "data" in df.columns else "zstd")
     with _shuffles_removed(spark):
         writer.parquet(path)
