@@ -57,12 +57,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(toxicity.score(docs, model), fold("doc_id", 4) == 2, threshold=0.3)
 
 
-@query("op6_nearest_neighbours")
+@query("op6_nearest_neighbours", settle=True)
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
 
 
-@query("op4_exact_dedup", sql=r"""
+@query("op4_exact_dedup", settle=True, sql=r"""
     WITH d AS (
         SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents
     )
@@ -74,23 +74,23 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.deduplicate(load(spark, sf_dir, "documents"))
 
 
-@query("op7_best_fit_packing")
+@query("op7_best_fit_packing", settle=True)
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(load(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, capacity=2048)
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", settle=True)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(load(spark, sf_dir, "documents"))
 
 
-@query("op10_phrase_automata")
+@query("op10_phrase_automata", settle=True)
 def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.remove_passages(load(spark, sf_dir, "documents"))
 
 
-@query("op9_minhash_neardup")
+@query("op9_minhash_neardup", settle=True)
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents"))
 

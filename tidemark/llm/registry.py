@@ -12,6 +12,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.frames import settled
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -36,14 +38,15 @@ def ship(spark: SparkSession) -> None:
     spark.conf.set(_SHIPPED, context.applicationId)
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register the decorated query."""
+def query(name: str, sql: str | None = None, settle: bool = False) -> Callable[[Query], Query]:
+    """Register the decorated query. With ``settle`` its result is written, and the tables that it
+    kept on the way are deleted; it is for operators that keep any."""
 
     def register(function: Query) -> Query:
         @functools.wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
-            return function(spark, sf_dir)
+            return settled(spark, name, lambda: function(spark, sf_dir)) if settle else function(spark, sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

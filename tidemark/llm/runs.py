@@ -294,8 +294,8 @@ def find_runs(docs: DataFrame, units: Units, width: int, gram: int, buckets: int
 
 
 def packed_texts(docs: DataFrame, doc_buckets: int) -> DataFrame:
-    """Texts by bucket of their document, compressed for the shuffle. NULL ids have a bucket as
-    others do, and are marked."""
+    """Texts by bucket of their document, compressed for the shuffle. Rows with a NULL id meet
+    nothing; they are marked, and dealt to all buckets in turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -303,7 +303,8 @@ def packed_texts(docs: DataFrame, doc_buckets: int) -> DataFrame:
             batch, out = Batch(rows.column(1)), []
             ids = np.asarray(rows.column(0).fill_null(0)).astype(np.int64)
             known = np.asarray(rows.column(0).is_valid())
-            where = doc_bucket(ids, doc_buckets)
+            turn = ((np.arange(ids.size) + len(batch) * 7919) % doc_buckets).astype(np.int32)
+            where = np.where(known, doc_bucket(ids, doc_buckets), turn)
             order = np.argsort(where, kind="stable")
             cuts = np.flatnonzero(np.r_[True, np.diff(where[order]) != 0, True])
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
