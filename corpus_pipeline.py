@@ -8,32 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import curate, packing, toxicity
-from tidemark.llm.frames import kept, load, noting
+from tidemark.llm.frames import load, noting, settled
 from tidemark.llm.labelled import fold
 from tidemark.llm.registry import ship
-from tidemark.sources.staging import discard
+from tidemark.sources.files import discard
 
 #: SQL cannot state the stages; tests compare each with a plain version of it.
 ORACLE_SQL = None
 
 
-#: Intermediate tables of the stage before. A stage is written before the next one is called, so
-#: that one's call says that they are done with.
-_left: list[str] = []
+#: Tables that a stage has left, of stages that are called one by one, by the folder of the tables
+#: they work on. Such a caller writes a stage's rows before calling the next one, so that one's
+#: call says that they are done with. :func:`run` has no part in this.
+_left: dict[str, list[str]] = {}
 
 
 def stage(function):
     """Ship the code, clear away what the stage before has left, and note what this one leaves."""
 
     @functools.wraps(function)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    def called(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
-        while _left:
-            discard(spark, _left.pop())
-        with noting(_left):
+        own = _left.setdefault(sf_dir, [])
+        while own:
+            discard(spark, own.pop())
+        with noting(own):
             return function(spark, docs, sf_dir)
 
-    return run
+    return called
 
 
 @stage
@@ -71,8 +73,23 @@ STAGES = [("toxicity", clean), ("exact_dedup", exact), ("minhash_near_dedup", ne
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; what a stage keeps is written for the next."""
-    docs = load(spark, sf_dir, "documents")
-    for name, function in STAGES[:-1]:
-        docs = kept(function(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over the documents of ``sf_dir``; what a stage keeps is written for the next.
+
+    Each run owns its tables: those of a stage, and the rows it was given, are deleted as soon as
+    what it keeps is written, also where it fails. Only the last stage's rows are left, which the
+    result reads and no other run touches; they go when the application ends."""
+    ship(spark)
+    docs, given = load(spark, sf_dir, "documents"), []
+    for name, function in STAGES:
+        written: list[str] = []
+        try:
+            with noting(written):
+                docs = settled(spark, name, lambda function=function, docs=docs: function.__wrapped__(spark, docs, sf_dir))
+        except BaseException:
+            given += written
+            raise
+        finally:
+            for path in given:
+                discard(spark, path)
+        given = written
+    return docs
