@@ -1,5 +1,6 @@
 """Words, ids and rows that must not be taken for each other."""
 
+import re
 import time
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, neighbours, packing, phrases, streams, texts, toxicity
+from tidemark.llm import neardup, neighbours, packing, phrases, streams, texts, toxicity, urls
 from tidemark.llm.labelled import sample
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -200,3 +201,49 @@ def test_texts_that_share_a_digest_with_a_kept_one(spark, tmp_path):
     streams.deduplicate_new(load((1, "ab")), None, state, digest=length).count()
     found = streams.deduplicate_new(load((2, "cd"), (3, "a b"), (4, "cd")), load((1, "ab")), state, digest=length)
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in found.collect()} == {(2, 2, True), (3, 1, False), (4, 2, False)}
+
+
+# --- Lists of URLs -------------------------------------------------------------------------------
+
+
+def plain_verdict(url, rules):
+    host, _, path = (url or "").partition("://")[2], None, ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", host).groups()
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    best = None
+    for (own, prefix), verdict in rules.items():
+        if (host == own or host.endswith("." + own)) and path.startswith(prefix):
+            best = max(best or (0,), (len(own) + len(prefix), len(own), own + prefix, verdict))
+    return (host, path, None, "allow") if best is None else (host, path, best[2], best[3])
+
+
+def test_entries_are_two_columns(spark):
+    """An entry's host and path are not one text, listed hosts may be in any case."""
+    listed = {("com", "x/"): "block", ("comx", "/"): "allow", ("b.com", ""): "block", ("B.C.com", "/p"): "allow", ("c.com", "/a"): "block"}
+    urls_of = ["http://a.comx/", "http://a.com/x/", "http://com", "http://q.b.com/z", "http://x.b.c.com/pq", "http://C.com/ab", "http://ac.com/a", "nothing", None, "http://c.com/", "http://c.com/ab"] * 2
+    rules = spark.createDataFrame([(h, p, v) for (h, p), v in listed.items()] + [(None, "/", "block"), ("com", None, "block")], "host string, path string, verdict string")
+    pages = spark.createDataFrame(list(enumerate(urls_of)), "page_id long, url string").withColumns({n: F.lit("x") for n in ("rule_host", "hits", "each", "hosts")})
+    lower = {(h.lower(), p): v for (h, p), v in listed.items()}
+    for words in (None, 1):
+        found = {r["page_id"]: tuple(r)[1:] for r in urls.filter_urls(pages, rules, words=words).collect()}
+        assert found == {i: plain_verdict(u, lower) for i, u in enumerate(urls_of)}
+    assert urls.filter_urls(pages.limit(0), rules).count() == 0 and urls.filter_urls(pages, rules.limit(0)).where("verdict = 'block'").count() == 0
+
+
+def test_long_lists_of_many_shapes(spark):
+    """100,000 entries of 1,000 shapes: hosts of 1 to 10 labels, paths of 100 lengths."""
+    entries = spark.range(100_000).select(
+        F.concat_ws(".", F.concat(F.lit("h"), F.floor(F.col("id") / 1000)), F.array_repeat(F.lit("s"), (F.col("id") % 10).cast("int"))).alias("host"),
+        F.concat(F.lit("/"), F.rpad(F.col("id").cast("string"), (F.floor(F.col("id") / 10) % 100 + 6).cast("int"), "p")).alias("path"),
+        F.lit("block").alias("verdict"))
+    pages = entries.limit(2000).union(entries.where("path LIKE '%77p%'")).select(
+        F.monotonically_increasing_id().alias("page_id"), F.concat(F.lit("http://www."), "host", "path", F.lit("/more?q")).alias("url"))
+    other = spark.range(3000).select((F.col("id") + 10**12).alias("page_id"), F.concat(F.lit("http://none"), "id", F.lit(".org/")).alias("url"))
+    start = time.perf_counter()
+    judged = urls.filter_urls(pages.union(other), entries)
+    planned = time.perf_counter()
+    judged._jdf.queryExecution().executedPlan()
+    print("planning", time.perf_counter() - planned)
+    verdicts = dict(map(tuple, judged.groupBy("verdict").count().collect()))
+    assert verdicts == {"block": pages.count(), "allow": 3000}
+    assert time.perf_counter() - start < 60
