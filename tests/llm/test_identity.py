@@ -11,7 +11,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, neighbours, packing, phrases, streams, texts, toxicity, urls
+from tidemark.llm import neardup, neighbours, packing, phrases, quality, streams, texts, toxicity, urls
 from tidemark.llm.labelled import sample
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -247,3 +247,54 @@ def test_long_lists_of_many_shapes(spark):
     verdicts = dict(map(tuple, judged.groupBy("verdict").count().collect()))
     assert verdicts == {"block": pages.count(), "allow": 3000}
     assert time.perf_counter() - start < 60
+
+
+# --- Quality: the forward pass in plain numpy ----------------------------------------------------
+
+
+def plain_features(text, settings):
+    """Buckets by words and characters of the text, one at a time."""
+    def bucket(value):
+        return int(value) >> (64 - (settings.buckets.bit_length() - 1))
+
+    def value_of(units):
+        return quality.Hashes(quality.BYTE_VALUES[np.frombuffer(units, np.uint8)])
+
+    found, own, before = [], [w.encode() for w in re.split(r"[\x20\x09-\x0D]+", text) if w], None
+    for word in own:
+        value = value_of(word).of(np.array([0]), np.array([len(word)]))
+        found.append(bucket(quality.mix(value + np.uint64(1))[0]))
+        found.append(bucket(quality.mix(np.array([word == before], np.uint64) + np.uint64(2))[0]))
+        before = word
+        marked = f" {word.decode()} "
+        for n in settings.grams:
+            for i in range(len(marked) - n + 1):
+                gram = marked[i : i + n].encode()
+                value = value_of(gram).raw(np.array([0]), np.array([len(gram)])) * np.uint64(0x9E3779B97F4A7C15)
+                found.append(bucket(value[0]))
+    return found
+
+
+def test_quality_scores_are_those_of_a_plain_forward_pass(spark):
+    settings = quality.Settings(buckets=1 << 10)
+    texts_of = ["ein schöner Tag", "über über Öl", "a", "", None, " \t ", "naïve \u00a0 çé 日本語 x", "same same same words", "y" * 60]
+    docs = spark.createDataFrame(list(enumerate(texts_of)), "doc_id long, text string").repartition(2)
+    weights, bias = np.random.default_rng(1).normal(size=settings.buckets).astype(np.float32), 0.3
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, (weights, bias), settings).collect()}
+    for i, text in enumerate(texts_of):
+        own = plain_features(text or "", settings)
+        mean = float(np.mean(weights[own].astype(float))) if own else 0.0
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-(mean + bias))), rel=1e-6)
+
+
+def test_training_is_plain_gradient_descent():
+    """One step on one example, from the softmax's derivative."""
+    settings = quality.Settings(buckets=8, dim=2, epochs=1, rate=0.4)
+    ids, weights = np.array([1, 5], np.uint32), np.array([0.25, 0.75], np.float32)
+    table, bias = quality.train([(1, ids, weights)], settings)
+    vectors = np.random.default_rng(settings.seed).uniform(-0.5, 0.5, (8, 2)).astype(np.float32).astype(float)
+    mean, out = weights @ vectors[ids], np.zeros((2, 2))
+    slope = np.array([0.5, 0.5]) - np.array([0, 1])  # of the loss, by both logits
+    vectors[ids] -= 0.4 * weights[:, None] * (out @ slope)
+    out -= 0.4 * np.outer(mean, slope)
+    assert bias == pytest.approx(-0.05 * (slope[1] - slope[0])) and table == pytest.approx(vectors @ (out[:, 1] - out[:, 0]), rel=1e-5)

@@ -38,7 +38,7 @@ _MARKED[WHITE] = 0x20
 def features(batch: Batch, start: int, end: int, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of the features of the texts from ``start`` to before ``end``, each with the
     number of the text it is in: every word, whether it repeats the word before it, and every
-    n-gram of bytes of a word and the marks at its ends. Texts are taken whole."""
+    n-gram of characters of a word and the marks at its ends. Texts are taken whole."""
     bounds = batch.bounds[start : end + 1]
     count = end - start
     data = np.full(int(bounds[-1] - bounds[0]) + count + 1, 0x20, dtype=np.uint8)
@@ -53,13 +53,18 @@ def features(batch: Batch, start: int, end: int, settings: Settings) -> Iterator
     again = np.zeros(values.size, dtype=np.uint64)
     again[1:] = (values[1:] == values[:-1]) & (inside[1:] == inside[:-1])
     yield (mix(again + np.uint64(2)) >> top).astype(np.int64), inside
-    hashes, blanks = Hashes(BYTE_VALUES[data]), np.zeros(data.size + 1, dtype=np.int32)
-    np.cumsum(data == 0x20, out=blanks[1:])
+    hashes = Hashes(BYTE_VALUES[data])
+    # Where characters begin, and the number of marks before each of them.
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    after = np.r_[first, data.size]
+    blanks = np.r_[0, np.cumsum(data[first] == 0x20)]
     for n in settings.grams:
-        if data.size < n:
+        if first.size < n:
             continue
-        at = np.flatnonzero(blanks[n - 1 : data.size] == blanks[1 : data.size - n + 2])
-        values = hashes.raw(at, at + n) * np.uint64(0x9E3779B97F4A7C15)
+        # A gram has marks at its ends only.
+        own = np.flatnonzero(blanks[n - 1 : first.size] == blanks[1 : first.size - n + 2])
+        at, end = first[own], after[own + n]
+        values = hashes.raw(at, end) * np.uint64(0x9E3779B97F4A7C15)
         yield (values >> top).astype(np.int64), np.searchsorted(edges, at, side="right") - 1
 
 
