@@ -178,7 +178,10 @@ def _stored_hops_minutely(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_hops(MINUTELY, spark, sf_dir)
 
 
-@registry.add("stream_clean_current", clean_sql("current"))
+@registry.add(
+    "stream_clean_current",
+    clean_sql("current", columns="CASE WHEN k % 11 <> 0 THEN '[]' END AS current_weather_more"),
+)
 def _stream_clean_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in JSON files, taken up as a stream that ends with what is there."""
     path = _json_files(spark, CURRENT, events(spark, sf_dir))
@@ -187,8 +190,7 @@ def _stream_clean_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_stream(replace(CURRENT, weather_width=2), read_raw_stream(spark, path, schema))
     start_layer(rows, layer, checkpoint).awaitTermination()
     stored = read_layer(spark, layer, rows.schema)
-    # No document has more than two conditions.
-    return without_zone(stored.drop("current_weather_more"))
+    return without_zone(stored.withColumn("current_weather_more", F.to_json("current_weather_more")))
 
 
 @registry.add(
@@ -226,23 +228,30 @@ def _analytic_hourly_lookback_dedupe(spark: SparkSession, sf_dir: str) -> DataFr
     return without_zone(clean_to_analytic(HOURLY, rows.unionAll(rows), history, 86400, True))
 
 
+def _condition_sql(i: int) -> str:
+    own = f'"daily_weather_forecast_weather[{i}]_'
+    return (f"""'{{"id":' || {own}id" || ',"main":"' || {own}main" || '","description":"' """
+            f"""|| {own}description" || '","icon":"' || {own}icon" || '"}}'""")
+
+
+_BEYOND = ", ".join(f'"daily_weather_forecast_weather[{i}]_{name}"'
+                    for i in (1, 2) for name in ("id", "main", "description", "icon"))
+
+
 @registry.add(
     "clean_daily_fixed_width",
     f"""
-    SELECT * EXCLUDE ("daily_weather_forecast_weather[1]_id", "daily_weather_forecast_weather[1]_main",
-                      "daily_weather_forecast_weather[1]_description", "daily_weather_forecast_weather[1]_icon",
-                      "daily_weather_forecast_weather[2]_id", "daily_weather_forecast_weather[2]_main",
-                      "daily_weather_forecast_weather[2]_description", "daily_weather_forecast_weather[2]_icon"),
-           concat_ws(',', "daily_weather_forecast_weather[1]_icon", "daily_weather_forecast_weather[2]_icon")
+    SELECT * EXCLUDE (filled, {_BEYOND}),
+           CASE WHEN filled THEN '[' || concat_ws(',', {_condition_sql(1)}, {_condition_sql(2)}) || ']' END
                AS daily_weather_forecast_weather_more
-    FROM ({clean_sql("daily")})
+    FROM ({clean_sql("daily", columns="k % 7 <> 1 AS filled")})
     """,
 )
 def _clean_daily_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns for one condition, and the others in an array, of which the icons are compared."""
+    """Columns for one condition, and the others whole in an array."""
     rows = raw_to_clean(replace(DAILY, weather_width=1), documents(spark, sf_dir))
     more = "daily_weather_forecast_weather_more"
-    return without_zone(rows.withColumn(more, F.concat_ws(",", F.coalesce(f"{more}.icon", F.array()))))
+    return without_zone(rows.withColumn(more, F.to_json(more)))
 
 
 @registry.add(
