@@ -11,7 +11,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, neighbours, packing, phrases, quality, streams, texts, toxicity, urls
+from tidemark.llm import frames, neardup, neighbours, packing, phrases, quality, streams, texts, toxicity, urls
 from tidemark.llm.labelled import sample
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -298,3 +298,14 @@ def test_training_is_plain_gradient_descent():
     vectors[ids] -= 0.4 * weights[:, None] * (out @ slope)
     out -= 0.4 * np.outer(mean, slope)
     assert bias == pytest.approx(-0.05 * (slope[1] - slope[0])) and table == pytest.approx(vectors @ (out[:, 1] - out[:, 0]), rel=1e-5)
+
+
+def test_settings_of_blocks_that_overlap(spark):
+    name = "spark.tidemark.tests"
+    one, other = frames.settings(spark, {name: "a"}), frames.settings(spark, {name: "b"})
+    one.__enter__()
+    other.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(name, None) == "b"
+    other.__exit__(None, None, None)
+    assert spark.conf.get(name, None) is None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.staging import discard, staging_path
 
+#: Jobs delete their shuffle files when they end.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -24,15 +26,32 @@ def cut(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(df[old].alias(new) for new, old in columns.items()))
 
 
+_lock = threading.Lock()
+#: Settings that blocks hold at the moment: how many do, and what was set before the first.
+_held: dict[str, tuple[int, str | None]] = {}
+
+
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """Jobs of the block delete their shuffle files when they end."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session for the time of a block. Of blocks that overlap, in several threads,
+    the last one to end puts back what was set before the first."""
+    with _lock:
+        for name, value in values.items():
+            number, before = _held.get(name, (0, None))
+            _held[name] = number + 1, spark.conf.get(name, None) if number == 0 else before
+            spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        with _lock:
+            for name in values:
+                number, before = _held.pop(name)
+                if number > 1:
+                    _held[name] = number - 1, before
+                elif before is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, before)
 
 
 #: Where :func:`kept` notes what it writes, for whoever knows when that is done with.
@@ -65,7 +84,7 @@ def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or staging_path(spark, name)
     note(path)
     writer = df.write.mode("errorifexists").option("compression", "none" if "data" in df.columns else "zstd")
-    with _shuffles_removed(spark):
+    with settings(spark, {_CLEANUP: "true"}):
         writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

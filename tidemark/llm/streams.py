@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import cut, kept, note
+from tidemark.llm.frames import cut, kept, note, settings
 from tidemark.sources.files import folders
 from tidemark.sources.staging import staging_path
 
@@ -49,16 +49,10 @@ def track(arrivals: DataFrame, changes: str, checkpoint: str) -> None:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
-    before = {name: spark.conf.get(name, None) for name in _STATE}
-    for name, value in _STATE.items():
-        spark.conf.set(name, value)
-    try:
+    with settings(spark, _STATE):
         run = (state.writeStream.outputMode("update").foreachBatch(write)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         run.awaitTermination()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _order(arrivals: DataFrame | None = None) -> Column:
