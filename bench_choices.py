@@ -15,9 +15,12 @@ from bench import produce, seconds, session
 from tidemark.functions.naming import column
 from tidemark.operators.arrays import split_to_columns
 from tidemark.operators.shaping import enforce
-from tidemark.plans.feeds import FEEDS, HOURLY, needed_schema
+from tidemark.operators.incremental import read_mark
+from tidemark.plans.feeds import DATE_PARTITION, FEEDS, HOURLY, needed_schema
 from tidemark.plans.jobs import run_raw_to_clean
-from tidemark.plans.pipelines import clean_rows
+from tidemark.plans.pipelines import clean_mark, clean_rows
+from tidemark.sources.documents import landed
+from tidemark.sources.layers import Layer
 from tidemark.sources.readers import read_raw
 from tidemark.sources.staging import discard, staged, staging_path
 from tidemark.workload.inputs import DOCUMENT_SCHEMA, documents_of, events
@@ -74,10 +77,33 @@ def main() -> None:
         def scan(schema):
             produce(clean_rows(HOURLY, read_raw(spark, json_path, schema)))
 
+        def scan_landed():
+            with landed(spark.read.text(json_path), DOCUMENT_SCHEMA) as batch:
+                produce(clean_rows(HOURLY, batch.documents))
+
         results["json_hourly"] = {
             "schema_of_the_feed": best(lambda: scan(needed_schema([HOURLY], DOCUMENT_SCHEMA))),
             "schema_of_all": best(lambda: scan(DOCUMENT_SCHEMA)),
             "inferred": best(lambda: scan(None)),
+            "landed": best(scan_landed),
+        }
+
+        # Arrays as long as real documents have them: an hour of minutes, two days of hours, a week.
+        real = documents.select(*documents.columns[:5], *(
+            F.array_repeat(F.element_at(array, 1), number).alias(array)
+            for array, number in (("minutely", 60), ("hourly", 48), ("daily", 8))
+        ))
+        for name, spec in FEEDS.items():
+            if spec.array is not None:
+                results[f"clean_{name}_real_arrays"] = best(lambda spec=spec: produce(clean_rows(spec, real)), 1)
+
+        layer = Layer(spark, staging_path(spark, "bench-layer"), DATE_PARTITION)
+        layer.publish(clean_rows(FEEDS["current"], documents))
+        frame = layer.read()
+        results["mark"] = {
+            "dates": len(layer.values()),
+            "from_the_listing": best(lambda: clean_mark(layer)),
+            "of_a_frame": best(lambda: read_mark(clean_mark(frame))),
         }
 
         target = staging_path(spark, "bench-clean")

@@ -213,3 +213,17 @@ def test_running_again_with_the_mark_advanced_gives_nothing(spark):
     df = seconds(spark, 1, 5, 9)
     first = newer_than(df, "dt", 0)
     assert newer_than(df, "dt", high_water_mark(first, "dt")).count() == 0
+
+
+def test_staged_gate_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(10, numPartitions=2).mapInArrow(count, "id long")
+    assert run_if_any(rows, lambda df: (df.count(), df.agg(F.max("id")).first()[0]), stage=True) == (10, 9)
+    assert seen.value == 10
+    assert run_if_any(rows.where("id > 50"), lambda df: df.count(), stage=True) is None

@@ -8,11 +8,12 @@ from functools import reduce
 from operator import and_
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 from tidemark.functions.naming import column, quoted
+from tidemark.sources.staging import staged
 
 Mark = int | float | datetime | date
 Result = TypeVar("Result")
@@ -130,6 +131,15 @@ def newer_than_per_key(df: DataFrame, name: str, history: DataFrame, keys: Seque
     return df.join(news, same(own, "__of") & (F.col(name) == F.col("__time")), "left_semi")
 
 
-def run_if_any(df: DataFrame, action: Callable[[DataFrame], Result]) -> Result | None:
-    """Run ``action`` on ``df`` if it has a row, else do nothing and return None."""
-    return None if df.isEmpty() else action(df)
+def run_if_any(df: DataFrame, action: Callable[[DataFrame], Result],
+               stage: bool = False) -> Result | None:
+    """Run ``action`` on ``df`` if it has a row, else do nothing and return None.
+
+    Looking for a row computes ``df`` up to the first one, and the action all of it again. With
+    ``stage`` it is computed once: the pass that writes it for the time of the action counts its
+    rows, and the action gets what was written, so it must not return rows that are read later."""
+    if not stage:
+        return None if df.isEmpty() else action(df)
+    observation = Observation()
+    with staged(df.observe(observation, F.count(F.lit(1)).alias("rows")), "gate") as rows:
+        return action(rows) if observation.get["rows"] else None
