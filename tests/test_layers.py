@@ -162,6 +162,14 @@ def test_publication_that_breaks_off_is_carried_out_by_the_next_reader(spark, tm
     assert (len(rows) == 3) == ("b" not in Layer(spark, path, "d").read().columns)
 
 
+def test_what_a_lost_driver_left_is_deleted(spark, tmp_path):
+    left, other = (tmp_path / f"_fresh-{name}-{'0' * 32}" for name in ("layer", "layer-2"))
+    left.mkdir()
+    other.mkdir()
+    Layer(spark, str(tmp_path / "layer"), "d").publish(spark.sql("SELECT 1 AS a, DATE'2024-01-01' AS d"))
+    assert sorted(os.listdir(tmp_path)) == sorted(["layer", other.name])
+
+
 def test_no_rows_publish_nothing(spark, tmp_path):
     layer = Layer(spark, str(tmp_path / "layer"), "d")
     nothing = spark.sql("SELECT 1 AS a, DATE'2024-01-01' AS d WHERE false")

@@ -160,7 +160,7 @@ class Layer(Dated):
         is stored with the rows, so that nothing is taken in twice or missed if a run breaks off."""
         if path_exists(self.spark, f"{self.path}/{_STREAMED}"):
             raise ValueError(f"a stream writes {self.path!r}; its readers would not see other files")
-        fresh = f"{self.path.rpartition('/')[0]}/_fresh-{uuid.uuid4().hex}"
+        fresh = f"{self._beside()}{uuid.uuid4().hex}"
         prepare = prepare or (lambda df: df)
         try:
             growing = merge is not None
@@ -188,6 +188,15 @@ class Layer(Dated):
             if read_text(self.spark, f"{self._meta}/intent.json") is None:
                 discard(self.spark, fresh)
 
+    def _beside(self) -> str:
+        """Start of the names of this layer's unpublished folders, beside it. What a lost driver has
+        left there without an intent is deleted, as there is one writer at a time."""
+        root, _, name = self.path.rpartition("/")
+        for left in folders(self.spark, root):
+            if left[:-32] == f"_fresh-{name}-":
+                discard(self.spark, f"{root}/{left}")
+        return f"{root}/_fresh-{name}-"
+
     def register(self, schema: StructType) -> StructType:
         """Unite the stored schema with that of rows another writer, such as a stream, is about
         to add; returns the union."""
