@@ -131,7 +131,7 @@ class Broken(Exception):
 
 
 @pytest.mark.parametrize("merge", [None, lambda new, old: new.unionByName(old)])
-@pytest.mark.parametrize("step", range(12))
+@pytest.mark.parametrize("step", range(18))
 def test_publication_that_breaks_off_is_carried_out_by_the_next_reader(spark, tmp_path, monkeypatch, merge, step):
     """The driver is lost before the ``step``-th change of a folder: the layer holds the old rows
     where nothing was intended yet, else the new ones, and never a part of both."""
@@ -280,6 +280,17 @@ def test_corrections_replace_rows(place):
     assert place.rows(place.analytic, "current_humidity") == [(5,), (81,)]
 
 
+def test_corrections_that_are_taken_together(place, spark):
+    """Two runs of the first hop before one of the second: of a row the later one counts."""
+    for humidity in (1, 2, 3):
+        changed, other = document(NOON), document(NOON + humidity, place=LIMA)
+        changed["current"]["humidity"] = other["current"]["humidity"] = humidity
+        run_raw_to_clean(place.raw(changed, other), place.clean, [CURRENT], overwrite="touched", log=5)
+    run_clean_to_analytic(spark, place.clean, place.analytic, [CURRENT], by="changes")
+    assert place.rows(place.analytic, "current_humidity") == [(1,), (2,), (3,), (3,)]
+    assert place.rows(place.clean, "current_humidity") == [(1,), (2,), (3,), (3,)]
+
+
 # --- One pass -----------------------------------------------------------------------------------
 
 

@@ -185,7 +185,7 @@ def run_clean_to_analytic(spark: SparkSession, clean_root: str, analytic_root: s
             rows, took = None, None
             if by == "changes":
                 state = clean.state()
-                rows = clean.changes(analytic.taken(clean))
+                rows = clean.changes(analytic.taken(clean), partial(merged, spec))
                 took = None if state is None else (clean, state.version)
             elif clean.exists():
                 rows = newer_than(clean.read(), WEATHER_TIME, mark, lookback, DATE_PARTITION)

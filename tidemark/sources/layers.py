@@ -30,6 +30,9 @@ from tidemark.sources.readers import read_table
 #: What Spark names the folder of NULL.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
+#: New rows, and old rows, to what is kept of both.
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
+
 _META = "_layer"
 _STREAMED = "_spark_metadata"
 
@@ -122,9 +125,10 @@ class Layer(Dated):
 
     # --- What changed -----------------------------------------------------------------------
 
-    def changes(self, after: int) -> DataFrame | None:
+    def changes(self, after: int, merge: Merge | None = None) -> DataFrame | None:
         """Rows of the publications after number ``after``, or None where there are none. Where
-        the log does not reach back so far, that is the whole layer."""
+        the log does not reach back so far, that is the whole layer. ``merge`` is what the
+        publications were merged by: rows that a later one of them replaces are left out."""
         state = self.state()
         if state is None:
             return self.read() if self.exists() else None
@@ -135,8 +139,8 @@ class Layer(Dated):
             return self.read()
         frames = [self.spark.read.schema(state.schema).option("basePath", path).parquet(path) for path in wanted]
         rows = frames[0]
-        for more in frames[1:]:
-            rows = rows.unionByName(more)
+        for later in frames[1:]:
+            rows = later.unionByName(rows) if merge is None else merge(later, rows)
         return rows
 
     def taken(self, source: Layer) -> int:
@@ -146,7 +150,7 @@ class Layer(Dated):
 
     # --- Publishing -------------------------------------------------------------------------
 
-    def publish(self, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    def publish(self, rows: DataFrame, merge: Merge | None = None,
                 prepare: Callable[[DataFrame], DataFrame] | None = None, log: int = 0,
                 took: tuple[Layer, int] | None = None) -> bool:
         """Write ``rows`` once, then make them the layer; says whether there were any. Without

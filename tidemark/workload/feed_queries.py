@@ -105,11 +105,13 @@ for _spec in FEEDS.values():
 
 @registry.add("json_text_daily", clean_sql("daily"))
 def _json_text_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as JSON text in a column."""
+    """Documents as JSON text in a column, parsed once by the job that fills the layer."""
     columns = F.struct(*DAILY.raw_columns)
     text = documents(spark, sf_dir).select(F.to_json(columns).alias("text"))
     parsed = parse_raw(text, F.col("text"), needed_schema([DAILY], DOCUMENT_SCHEMA))
-    return without_zone(raw_to_clean(DAILY, parsed))
+    clean = staging_path(spark, "clean")
+    run_raw_to_clean(parsed, clean, [DAILY], compacted=True)
+    return without_zone(read_layer(spark, layer_path(clean, DAILY)))
 
 
 def _json_files(spark: SparkSession, spec: FeedSpec, rows: DataFrame) -> str:
