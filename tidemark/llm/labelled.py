@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from tidemark.llm.frames import cut
 
@@ -20,21 +21,29 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound:
     one id are texts of their own. NULL ids and labels take no part, nor do texts of more than a
     64th of all bytes.
 
-    The ids, and the texts' hashes and sizes that the bounds are applied to, are few enough to be
-    broadcast; texts are read once more then."""
+    The bounds are applied to hashes and sizes of the texts, in one pass over them. What is chosen
+    comes to the driver as an id, a hash and a label for each text, at most ``bound`` of them, and is
+    broadcast to where the texts are. Only texts that do repeat are shuffled, to have one of each."""
     chosen = (
         cut(labels, doc_id="doc_id", label=label).dropna().where(learn & F.col("label").isin(0, 1))
         .groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
     own = cut(docs, doc_id="doc_id", text="text").withColumn("key", F.xxhash64("text"))
-    held = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "key", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    held = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "key", "label", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("key")]
-    first = held.where(F.col("size") <= size // 64).distinct().orderBy(*order).limit(bound)
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # of ``bound`` rows at most
-    picked = first.withColumn("upto", F.sum(F.col("size").cast("long")).over(upto)).where(F.col("upto") <= size)
-    texts = own.join(F.broadcast(picked.select("doc_id", "key", "label")), ["doc_id", "key"])
-    return texts.dropDuplicates(["doc_id", "key"]).select("doc_id", "text", "label")
+    each = held.where(F.col("size") <= size // 64).groupBy("doc_id", "key", "label", "size").agg(F.count(F.lit(1)).alias("copies"))
+    picked, total = [], 0
+    for row in each.orderBy(*order).limit(bound).collect():
+        total += row["size"]
+        if total > size:
+            break
+        picked.append((row["doc_id"], row["key"], row["label"], row["copies"] > 1))
+    schema = StructType([chosen.schema["doc_id"], StructField("key", LongType()), StructField("label", IntegerType()), StructField("repeats", BooleanType())])
+    texts = own.join(F.broadcast(docs.sparkSession.createDataFrame(picked, schema)), ["doc_id", "key"])
+    if any(repeats for *_, repeats in picked):
+        texts = texts.where(~F.col("repeats")).union(texts.where("repeats").dropDuplicates(["doc_id", "key"]))
+    return texts.select("doc_id", "text", "label")
 
 
 def judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
