@@ -75,10 +75,12 @@ def test_frequencies(spark, odd):
 ITEMS = [(1, "alpha beta"), (1, "gamma"), (2, "Alpha ALPHA älpha"), (3, None), (4, ""), (5, "nowhere"), (6, "x" * 3_000_000), (None, "beta 1")]
 
 
-@pytest.mark.parametrize("k, width, block", [(3, 1 << 16, 256), (2, 2, 1), (20, 1 << 16, 2)])
-def test_search_agrees_with_brute_force(spark, odd, monkeypatch, k, width, block):
-    """Two coordinates only, so that all terms collide, and items in many blocks change nothing."""
+@pytest.mark.parametrize("k, width, block, sent", [(3, 1 << 16, 256, 1000), (2, 2, 1, 0), (20, 1 << 16, 2, 5)])
+def test_search_agrees_with_brute_force(spark, odd, monkeypatch, k, width, block, sent):
+    """Two coordinates only, so that all terms collide, items in many blocks, and either way to
+    meet the texts change nothing."""
     monkeypatch.setattr(ranked, "WIDTH", width)
+    monkeypatch.setattr(ranked, "SENT", sent)
     monkeypatch.setattr(ranked, "ITEMS", block)
     asked = {}
     for item, text in ITEMS:

@@ -21,6 +21,8 @@ from tidemark.llm.terms import frequencies, terms
 WIDTH = 1 << 16
 #: Items that are looked up together.
 ITEMS = 256
+#: Most pairs of an item and a document, of some 30 bytes each, that are sent to all tasks.
+SENT = 200_000
 #: Numbers of a dense block of impacts (rows of documents x coordinates the items ask for).
 BLOCK = 1 << 22
 
@@ -195,8 +197,12 @@ def _largest(bounds: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _rescored(docs: DataFrame, asked: DataFrame, queries: Queries) -> DataFrame:
     """Exact scores above 0 of the documents ``asked`` for: ``item, doc_id, score``. Their texts
-    are read again and their terms compared as they are."""
+    are read again and their terms compared as they are. The few that are asked for, which is
+    counted, go to the texts; only where they are many are texts shuffled to meet them."""
+    asked = kept(asked.select("item", "doc_id", "key"), "asked")
     wanted = asked.groupBy("doc_id", "key").agg(F.collect_set("item").alias("items"))
+    if asked.count() <= SENT:
+        wanted = F.broadcast(wanted)
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["key"] == wanted["key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
