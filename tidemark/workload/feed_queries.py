@@ -28,10 +28,12 @@ from tidemark.streaming import clean_stream, read_raw_stream, start_layer
 from tidemark.workload.inputs import (
     CUTOFF,
     DOCUMENT_SCHEMA,
+    RAW_FILES,
     clean_sql,
     documents,
     documents_of,
     events,
+    spread,
 )
 from tidemark.workload.registry import Registry, without_zone
 
@@ -117,7 +119,7 @@ def _json_text_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _json_files(spark: SparkSession, spec: FeedSpec, rows: DataFrame) -> str:
     """Documents in a directory of JSON files, without the arrays of other feeds."""
     path = staging_path(spark, "raw-json")
-    documents_of(rows).select(*spec.raw_columns).write.json(path)
+    documents_of(spread(rows)).select(*spec.raw_columns).write.options(**RAW_FILES).json(path)
     return path
 
 

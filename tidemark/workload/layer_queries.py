@@ -9,7 +9,15 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.feeds import CURRENT, CURRENT_DT, DAILY, DATE_PARTITION, HOURLY, WEATHER_TIME, FeedSpec
+from tidemark.plans.feeds import (
+    CURRENT,
+    CURRENT_DT,
+    DAILY,
+    DATE_PARTITION,
+    HOURLY,
+    WEATHER_TIME,
+    FeedSpec,
+)
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_mark, raw_to_clean
 from tidemark.sources.documents import landed
@@ -24,7 +32,15 @@ from tidemark.workload.feed_queries import (
     _processed,
     _stored_hops,
 )
-from tidemark.workload.inputs import CUTOFF, DOCUMENT_SCHEMA, clean_sql, documents_of, events
+from tidemark.workload.inputs import (
+    CUTOFF,
+    DOCUMENT_SCHEMA,
+    RAW_FILES,
+    clean_sql,
+    documents_of,
+    events,
+    spread,
+)
 from tidemark.workload.registry import Registry, without_zone
 
 registry = Registry()
@@ -185,11 +201,11 @@ def _json_lines(spark: SparkSession, spec: FeedSpec, rows: DataFrame,
                 change: Callable[[DataFrame], DataFrame], spell: Callable[[Column], Column] | None = None) -> DataFrame:
     """Documents as lines of JSON files, after ``change`` of the documents and ``spell`` of the
     text. ``k`` is at hand for both."""
-    documents = documents_of(rows).select(*spec.raw_columns, F.expr("current.humidity").alias("k"))
+    documents = documents_of(spread(rows)).select(*spec.raw_columns, F.expr("current.humidity").alias("k"))
     text = F.to_json(F.struct(*(F.col(name) for name in spec.raw_columns)))
     lines = change(documents).select((text if spell is None else spell(text)).alias("value"))
     path = staging_path(spark, "json-lines")
-    lines.write.text(path)
+    lines.write.options(**RAW_FILES).text(path)
     return spark.read.text(path)
 
 
