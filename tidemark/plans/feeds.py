@@ -210,6 +210,11 @@ def needed_schema(specs: Iterable[FeedSpec], schema: StructType = RAW_SCHEMA) ->
     return StructType(fields)
 
 
+def needed_fields(specs: Iterable[FeedSpec]) -> dict[str, tuple[str, ...]]:
+    """Structs of raw documents of which some feeds read certain fields alone."""
+    return {OBSERVATION: (OBSERVATION_DT,)} if all(spec.array is not None for spec in specs) else {}
+
+
 # --- Feeds ----------------------------------------------------------------------------------
 # Prefixes, look-back, renames, drops and leading columns of the four feeds are fixed values.
 

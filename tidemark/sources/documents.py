@@ -7,7 +7,7 @@ cast, and what does not fit a type makes only its own field NULL."""
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -34,6 +34,9 @@ from tidemark.sources.staging import staging_path
 
 _DOCUMENT = "__document"
 _LINE = "__line"
+_BRACE = r"^[ \t\r\n]*\{"
+#: Whether Parquet files hold frequent fields of a VARIANT in columns of their own.
+_SHREDDING = "spark.sql.variant.inferShreddingSchema"
 
 
 def _learned(data_type: DataType) -> DataType:
@@ -70,6 +73,17 @@ def _readable(data_type: DataType, declared: DataType | None) -> DataType:
     return StringType() if isinstance(data_type, NullType) else data_type
 
 
+def _narrowed(schema: StructType, only: Mapping[str, Collection[str]]) -> StructType:
+    """``schema`` with some fields of the structs that ``only`` names; those without any stay."""
+    def kept(field: StructField) -> StructField:
+        if field.name not in only or not isinstance(field.dataType, StructType):
+            return field
+        some = [f for f in field.dataType if f.name in only[field.name]]
+        return StructField(field.name, StructType(some)) if some else field
+
+    return StructType([kept(field) for field in schema])
+
+
 def schema_of(text: str | None) -> StructType:
     """The struct that ``schema_of_variant_agg`` describes."""
     if text is None or not text.startswith("OBJECT<"):
@@ -128,7 +142,23 @@ class Landed:
 
 
 @contextmanager
-def landed(lines: DataFrame, declared: StructType | None = None, store: str | None = None) -> Iterator[Landed]:
+def _whole_variants(spark: SparkSession) -> Iterator[None]:
+    """Documents are written as they are, as long as the block lasts: to take them apart by fields
+    costs more than the few reads of staged documents save."""
+    before = spark.conf.get(_SHREDDING, None)
+    spark.conf.set(_SHREDDING, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHREDDING)
+        else:
+            spark.conf.set(_SHREDDING, before)
+
+
+@contextmanager
+def landed(lines: DataFrame, declared: StructType | None = None, store: str | None = None,
+           only: Mapping[str, Collection[str]] | None = None) -> Iterator[Landed]:
     """A batch of JSON lines (a frame of one text column, as ``spark.read.text`` gives it), staged
     for as long as the block lasts.
 
@@ -137,11 +167,17 @@ def landed(lines: DataFrame, declared: StructType | None = None, store: str | No
     of all batches before, and the union is stored; so a batch without some field still has its
     column, and no run has to look at old files. Of numbers in several types doubles are made, of
     other differences text. Fields of ``declared`` are always there, and where they hold single
-    values, or values that have no one type, they have the types it states."""
+    values, or values that have no one type, they have the types it states. ``only`` names fields
+    of top-level structs that a reader is content with; the others of these are not taken from the
+    documents, which costs something for each."""
     spark = lines.sparkSession
     text = F.col(quoted(lines.columns[0]))
     parsed = lines.where(F.length(F.trim(text)) > 0).select(F.try_parse_json(text).alias(_DOCUMENT), text.alias(_LINE))
-    is_object = F.coalesce(F.startswith(F.expr(f"schema_of_variant({_DOCUMENT})"), F.lit("OBJECT")), F.lit(False))
+    # Text that parses and begins with a brace is an object; only of others is the type looked up.
+    is_object = (
+        F.when(F.col(_DOCUMENT).isNull(), False).when(F.col(_LINE).rlike(_BRACE), True)
+        .otherwise(F.startswith(F.expr(f"schema_of_variant({_DOCUMENT})"), F.lit("OBJECT")))
+    )
     parsed = parsed.select(
         F.when(is_object, F.col(_DOCUMENT)).alias(_DOCUMENT), F.when(~is_object, F.col(_LINE)).alias(_LINE)
     )
@@ -149,7 +185,8 @@ def landed(lines: DataFrame, declared: StructType | None = None, store: str | No
     observation = Observation()
     try:
         observed = parsed.observe(observation, F.expr(f"schema_of_variant_agg({_DOCUMENT})").alias("schema"))
-        observed.write.parquet(path)
+        with _whole_variants(spark):
+            observed.write.parquet(path)
         found = schema_of(observation.get["schema"])
         known = found
         if store is not None:
@@ -161,7 +198,7 @@ def landed(lines: DataFrame, declared: StructType | None = None, store: str | No
         staged = spark.read.schema(parsed.schema).parquet(path)
         objects = staged.where(F.col(_DOCUMENT).isNotNull())
         yield Landed(
-            typed(objects, _DOCUMENT, _readable(known, declared)),
+            typed(objects, _DOCUMENT, _narrowed(_readable(known, declared), only or {})),
             staged.where(F.col(_LINE).isNotNull()).select(F.col(_LINE).alias("line")), found,
         )
     finally:

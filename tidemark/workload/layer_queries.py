@@ -17,6 +17,7 @@ from tidemark.plans.feeds import (
     HOURLY,
     WEATHER_TIME,
     FeedSpec,
+    needed_fields,
 )
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_mark, raw_to_clean
@@ -213,7 +214,7 @@ def _landed(spark: SparkSession, spec: FeedSpec, batches: Sequence[DataFrame]) -
     """The clean layer that batches of lines grow to, by a schema that is learnt on the way."""
     clean, store = staging_path(spark, "clean"), staging_path(spark, "schema") + "/raw.json"
     for lines in batches:
-        with landed(lines, DOCUMENT_SCHEMA, store) as batch:
+        with landed(lines, DOCUMENT_SCHEMA, store, needed_fields([spec])) as batch:
             run_raw_to_clean(batch.documents, clean, [spec], overwrite="touched", compacted=True)
     return without_zone(read_layer(spark, layer_path(clean, spec)))
 
