@@ -18,6 +18,7 @@ from tidemark.plans.feeds import (
     WEATHER_TIME,
     FeedSpec,
     needed_fields,
+    needed_schema,
 )
 from tidemark.plans.jobs import layer_path, run_clean_to_analytic, run_raw_to_clean
 from tidemark.plans.pipelines import clean_mark, raw_to_clean
@@ -59,7 +60,9 @@ class _Growing:
 
     def take(self, rows: DataFrame, marked: bool = True, keys: Sequence[str] = ()) -> None:
         """Documents of ``rows``, through JSON files whose schema is inferred, to both layers."""
-        raw = read_raw(self.spark, _json_files(self.spark, self.spec, rows), None)
+        path = _json_files(self.spark, self.spec, rows)
+        found = read_raw(self.spark, path, None).schema
+        raw = read_raw(self.spark, path, needed_schema([self.spec], found))
         history = {self.spec.name: self.layer(self.clean)} if marked else {}
         run_raw_to_clean(raw, self.clean, [self.spec], history, "touched", True, keys=keys, log=8)
         run_clean_to_analytic(self.spark, self.clean, self.analytic, [self.spec], by="changes")
