@@ -8,15 +8,17 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 import tokenizers
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, mismatch
 from tidemark.llm import (curate, neardup, neighbours, packing, phrases, quality, queries, registry,
-                          streams, suffixes, tokens, toxicity, urls)
+                          runs, streams, suffixes, texts, tokens, toxicity, urls)
 from tidemark.llm.components import components
 from tidemark.llm.labelled import fold
 
@@ -129,6 +131,31 @@ def test_hot_marks_and_classes_of_one_document(spark):
     assert counted(suffixes.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute_bytes(plain(docs)))
 
 
+def test_edited_copies_of_monotonous_texts(spark):
+    """Anchors tie within such texts, and suffixes recur in one text and in many."""
+    rng, texts = np.random.default_rng(7), [b"ab" * 150, b"a" * 300, b"aab" * 90 + b"c" * 60]
+    for i in range(40):
+        body = np.frombuffer(texts[rng.integers(len(texts))], np.uint8).copy() if i % 4 else rng.choice(np.frombuffer(b"abc ", np.uint8), 400)
+        body[rng.integers(0, body.size, 3)] = rng.choice(np.frombuffer(b"abx", np.uint8), 3)
+        texts.append(np.roll(body, rng.integers(0, 40)).tobytes())
+    docs = spark.createDataFrame([(int(i), t.decode()) for i, t in zip(rng.permutation(len(texts)) // 2, texts, strict=True)], "doc_id long, text string").repartition(3)
+    assert counted(suffixes.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute_bytes(plain(docs)))
+
+
+def test_suffixes_travel_as_stretches_of_text():
+    rng = np.random.default_rng(3)
+    bodies = [rng.choice(np.frombuffer(b"abcdefghijklmnopqrstuvwxyz  ", np.uint8), 3000).tobytes() for _ in range(20)]
+    ids, sizes = np.arange(20), np.full(20, 3000)
+    body = np.frombuffer(zstandard.compress(b"".join(bodies)), np.uint8)
+    held = runs.Texts([texts.pack(ids, np.ones(20, np.uint8), sizes, body)])
+    first = np.tile(np.arange(0, 2944, 16, dtype=np.uint32), 20)
+    tags = np.repeat(np.array([zlib.crc32(b) for b in bodies], np.uint32), 184)
+    asked = runs.rows_of(runs.ASKED, np.zeros(first.size, np.int32), np.repeat(ids, 184), tags, first, np.full(first.size, 16, np.uint8), np.zeros(first.size, np.uint64), np.zeros(first.size, np.uint8))
+    dealt = suffixes._suffix_rows(held, runs.table_of(list(asked)), [b"h", b"q"], 12)
+    assert pc.sum(dealt["weight"]).as_py() == 20 * 2944 and set(dealt["bucket"].to_pylist()) == {0, 1, 2}
+    assert sum(map(len, dealt["data"].to_pylist())) < 8 * 20 * 2944
+
+
 @pytest.mark.parametrize("table", ["odd", "documents"])
 def test_tokens_round_trip(request, table):
     docs = request.getfixturevalue(table)

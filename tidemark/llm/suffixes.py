@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,18 @@ from tidemark.llm.frames import cut, parts, text_bytes
 from tidemark.llm.runs import (ASKED, COVERED, SCHEMA, WINDOWS, Texts, by_text, byte_units,
                                covered_rows, find_runs, grouped, passed_on, table_of,
                                 with_texts)
-from tidemark.llm.texts import pack, unpack
+from tidemark.llm.texts import BYTE_VALUES, CHUNK, Hashes, pack, sliding_min, unpack_all
 
-#: Bytes of a string that counts, of the grams that mark windows, and of a token of a suffix.
-WIDTH, GRAM, TOKEN = 50, 20, 8
+#: Bytes of a string that counts, of the grams that mark windows, of the anchors that deal
+#: suffixes, and of a token of a suffix.
+WIDTH, GRAM, ANCHOR, TOKEN = 50, 20, 32, 8
 #: Bytes of text for a bucket, and suffixes for a bucket.
-BUCKET_BYTES, BUCKET_SUFFIXES = 8 << 20, 1 << 19
+BUCKET_BYTES, BUCKET_SUFFIXES = 8 << 20, 1 << 20
+#: Arrays of stretches of suffixes: doc_id, tag, first suffix, suffixes, place of the anchor in the
+#: first one, bytes.
+STRETCHES = ("i8", "u4", "u4", "u1", "u1", "u1")
+#: Bits of a key that hold the place of an anchor.
+_PLACE = np.uint64((1 << 20) - 1)
 #: Documents that splitters are sampled from, and suffixes of each. They balance the buckets and
 #: have no influence on results.
 SAMPLED, EACH = 4000, 8
@@ -68,7 +75,7 @@ def _smallest(order: np.ndarray, new: np.ndarray, ids: np.ndarray) -> np.ndarray
 
 
 def _splitters(docs: DataFrame, rows: int, buckets: int) -> list[bytes]:
-    """Suffixes that cut a sample of all suffixes into parts of equal size."""
+    """Anchors that cut a sample of all grams of their size into parts of equal size."""
     if buckets < 2 or not rows:
         return []
     every = max(1, rows // SAMPLED)
@@ -76,14 +83,41 @@ def _splitters(docs: DataFrame, rows: int, buckets: int) -> list[bytes]:
     size = F.octet_length("text")
     at = F.sequence(F.lit(0), F.lit(EACH - 1))
     picked = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & (size >= WIDTH)).select(
-        F.explode(F.transform(at, lambda i: F.substring(body, (F.xxhash64("doc_id", i) % (size - WIDTH + 1) + size - WIDTH + 1) % (size - WIDTH + 1) + 1, F.lit(WIDTH)))).alias("suffix"))
-    sample = sorted(bytes(row["suffix"]) for row in picked.collect())
+        F.explode(F.transform(at, lambda i: F.substring(body, (F.xxhash64("doc_id", i) % (size - WIDTH + 1) + size - WIDTH + 1) % (size - WIDTH + 1) + 1, F.lit(ANCHOR)))).alias("anchor"))
+    sample = sorted(bytes(row["anchor"]) for row in picked.collect())
     return sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
 
 
+def _within(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of stretches, one stretch after the other."""
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _anchors(data: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Where the anchor of each suffix begins, counted from the suffix: the leftmost of its grams of
+    ``ANCHOR`` bytes whose hash is least. Only the suffix's own bytes decide on it, so equal
+    suffixes have one anchor at one place; neighbours in a text mostly share theirs. The hash
+    only chooses, nothing is held equal by it. Suffixes that follow each other in the text are
+    hashed together, about ``CHUNK`` bytes at a time."""
+    out = np.zeros(where.size, dtype=np.int64)
+    starts = np.flatnonzero(np.r_[True, where[1:] != where[:-1] + 1][: where.size])
+    counts = np.diff(np.r_[starts, where.size])
+    sizes = counts + WIDTH - 1
+    chunk = (np.cumsum(sizes) - sizes) // CHUNK
+    cuts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1], True]) if starts.size else [0]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        begin = np.cumsum(sizes[a:b]) - sizes[a:b]
+        grams = Hashes(BYTE_VALUES[data[_within(where[starts[a:b]], sizes[a:b])]]).all_of(ANCHOR)
+        least = sliding_min(grams & ~_PLACE | np.arange(grams.size, dtype=np.uint64), WIDTH - ANCHOR + 1) & _PLACE
+        own = _within(begin, counts[a:b])
+        out[starts[a] : starts[a] + own.size] = least[own].astype(np.int64) - own
+    return out
+
+
 def _suffix_rows(texts: Texts, rows: pa.Table, splitters: list[bytes], doc_buckets: int) -> pa.Table:
-    """Suffixes of the runs that are asked for, sorted and cut at the splitters."""
-    out = passed_on(rows, COVERED)
+    """Suffixes of the runs that are asked for: those of one anchor as a stretch of bytes, sorted
+    by their anchors and cut at the splitters."""
+    out = []
     named = list(by_text([row[3] for row in passed_on(rows, ASKED)], ASKED))
     if not named:
         return table_of(out)
@@ -91,8 +125,7 @@ def _suffix_rows(texts: Texts, rows: pa.Table, splitters: list[bytes], doc_bucke
     where, ids, tags, first = [], [], [], []
     for name, (_, _, begin, sizes, *_) in named:
         for row in found.get(name, [])[:1]:  # rows of one name have one text
-            begin, sizes = begin.astype(np.int64), sizes.astype(np.int64)
-            own = np.unique(np.repeat(begin, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+            own = np.unique(_within(begin.astype(np.int64), sizes.astype(np.int64)))
             where.append(own + texts.bounds[row])
             first.append(own)
             ids.append(np.full(own.size, name[0]))
@@ -104,46 +137,71 @@ def _suffix_rows(texts: Texts, rows: pa.Table, splitters: list[bytes], doc_bucke
     step = 1 << 18
     for low in range(0, where.size, step):
         part = slice(low, low + step)
-        suffixes = view[where[part]]
-        order, new = sort_suffixes(tokens_of(suffixes))
-        own_ids, own_tags, own_first = ids[part], tags[part], first[part]
-        least = _smallest(order, new, own_ids)
-        later = own_ids[order] > least
-        copies, stay = order[later], order[~later]
+        order, new = sort_suffixes(tokens_of(view[where[part]]))
+        own_where, own_ids, own_tags, own_first = where[part], ids[part], tags[part], first[part]
+        later = own_ids[order] > _smallest(order, new, own_ids)
+        copies, stay = order[later], np.sort(order[~later])
         out += covered_rows(own_ids[copies], own_tags[copies], own_first[copies], own_first[copies], doc_buckets)
-        sorted_suffixes = suffixes[stay]
-        cuts = [0, *(_first_not_below(sorted_suffixes, s) for s in splitters), stay.size]
-        for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if b > a:
-                own = stay[a:b]
-                out.append((WINDOWS, bucket, b - a, pack(own_ids[own], own_tags[own], own_first[own].astype(np.uint32), np.ascontiguousarray(sorted_suffixes[a:b]).reshape(-1))))
+        own_where, own_ids, own_tags, own_first = (x[stay] for x in (own_where, own_ids, own_tags, own_first))
+        out += _stretch_rows(texts.data, own_where, own_ids, own_tags, own_first, splitters)
     return table_of(out)
 
 
-def _first_not_below(sorted_suffixes: np.ndarray, splitter: bytes) -> int:
+def _stretch_rows(data: np.ndarray, where: np.ndarray, ids: np.ndarray, tags: np.ndarray, first: np.ndarray, splitters: list[bytes]) -> Iterator[tuple]:
+    """Neighbouring suffixes that share their anchor as one stretch of bytes, for the bucket of the
+    anchor: a row for each bucket."""
+    if not where.size:
+        return
+    lead = _anchors(data, where)
+    # Neighbours share an anchor where it is one place nearer to the next suffix.
+    starts = np.flatnonzero(np.r_[True, (where[1:] != where[:-1] + 1) | (lead[1:] != lead[:-1] - 1)])
+    counts = np.diff(np.r_[starts, where.size])
+    anchors = np.lib.stride_tricks.sliding_window_view(data, ANCHOR)[(where + lead)[starts]]
+    order, _ = sort_suffixes(tokens_of(anchors))
+    anchors, starts, counts = anchors[order], starts[order], counts[order]
+    cuts = [0, *(_first_not_below(anchors, s) for s in splitters), starts.size]
+    for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if b > a:
+            own, sizes = starts[a:b], counts[a:b]
+            yield WINDOWS, bucket, int(sizes.sum()), pack(ids[own], tags[own], first[own].astype(np.uint32), sizes.astype(np.uint8),
+                                                          lead[own].astype(np.uint8), data[_within(where[own], sizes + WIDTH - 1)])
+
+
+def _first_not_below(sorted_anchors: np.ndarray, splitter: bytes) -> int:
     class Rows:
         def __len__(self) -> int:
-            return sorted_suffixes.shape[0]
+            return sorted_anchors.shape[0]
 
         def __getitem__(self, i: int) -> bytes:
-            return sorted_suffixes[i].tobytes()
+            return sorted_anchors[i].tobytes()
 
     return bisect_left(Rows(), splitter)
 
 
 def _sort_bucket(doc_buckets: int):
     """Sort a range of suffixes; those that an earlier document has too are covered. Splitters are
-    whole suffixes and a suffix equal to one goes to the right of it, so equal ones never lie
-    on both sides of a boundary: comparing there is done by how they are dealt."""
+    whole anchors and an anchor equal to one goes to the right of it, so equal suffixes, which
+    have equal anchors at equal places, never lie on both sides of a boundary: comparing there is
+    done by how they are dealt. Suffixes are laid out and sorted for one place of the anchor at a
+    time, so no more than one of a stretch at once."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() != WINDOWS:
             return table
-        columns = [unpack(value) for value in table["data"].to_pylist()]
-        ids, tags, first = (np.concatenate([c[i] for c in columns]) for i in range(3))
-        order, new = sort_suffixes(np.concatenate([tokens_of(c[3].reshape(-1, WIDTH)) for c in columns]))
-        later = order[ids[order] > _smallest(order, new, ids)]
-        return table_of(list(covered_rows(ids[later], tags[later], first[later], first[later], doc_buckets)))
+        ids, tags, first, counts, lead, data = unpack_all(table["data"].to_pylist(), STRETCHES)
+        counts, lead = counts.astype(np.int64), lead.astype(np.int64)
+        begin = np.cumsum(counts + WIDTH - 1) - (counts + WIDTH - 1)
+        view = np.lib.stride_tricks.sliding_window_view(data, WIDTH)
+        found = [(np.zeros(0, np.int64),) * 2]
+        for place in range(WIDTH - ANCHOR + 1):
+            rows = np.flatnonzero((place <= lead) & (place > lead - counts))
+            skip = lead[rows] - place
+            order, new = sort_suffixes(tokens_of(view[begin[rows] + skip]))
+            later = order[ids[rows[order]] > _smallest(order, new, ids[rows])]
+            found.append((rows[later], skip[later]))
+        rows, skip = (np.concatenate(x) for x in zip(*found, strict=True))
+        at = first[rows].astype(np.int64) + skip
+        return table_of(list(covered_rows(ids[rows], tags[rows], at, at, doc_buckets)))
 
     return run
 
@@ -191,16 +249,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     First, runs of windows that are equal as a whole in an earlier document are found by their
     hashes (see :mod:`tidemark.llm.runs`). Where runs agree only in part, at the ends of
     passages and in chance matches, their suffixes are sorted: sampled splitters range-partition
-    them by their tokens, every bucket is sorted by multikey quicksort, and equal neighbours are
-    compared by document. A string that many documents share leaves each batch once."""
+    them by the tokens of their anchors, every bucket is sorted by multikey quicksort, and equal
+    neighbours are compared by document. A string that many documents share leaves each batch
+    once, and neighbouring suffixes of one anchor travel as the stretch of text they cover."""
     docs = cut(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows, size = text_bytes(docs)
     buckets = parts(size, BUCKET_BYTES)
     found = find_runs(docs, byte_units, WIDTH, GRAM, buckets, buckets)
     suffixes = found.where(F.col("kind") == ASKED).agg(F.sum("weight")).first()[0] or 0
     splitters = _splitters(docs, rows, parts(suffixes * 16, BUCKET_SUFFIXES))
-    dealt = with_texts(docs, found, buckets, lambda texts, own: _suffix_rows(texts, own, splitters, buckets), SCHEMA)
-    covered = grouped(dealt, _sort_bucket(buckets), "suffixes")
+    asked, settled = found.where(F.col("kind") == ASKED), found.where(F.col("kind") == COVERED)
+    dealt = with_texts(docs, asked, buckets, lambda texts, own: _suffix_rows(texts, own, splitters, buckets), SCHEMA)
+    covered = settled.union(grouped(dealt, _sort_bucket(buckets), "suffixes"))
     fields = [StructField("doc_id", LongType()), *(StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")), StructField("kept_sha256", StringType())]
     if with_text:
         fields += [StructField("crc", LongType()), StructField("body", StringType())]
